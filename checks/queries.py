@@ -5,8 +5,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from checks import fixtures as fx
 from checks.sql import FIELDS, SOURCES_SQL, byte, lexicon_swap, noisy, norm, side, sql, texts, words_of
@@ -661,12 +662,9 @@ def feature_vectors(spark, sf):
 
 
 def _sparse_summary(column: str):
-    import pandas as pd
-    from pyspark.sql.types import DoubleType, LongType, StructField, StructType
-
-    def summarise(vectors: pd.Series) -> pd.DataFrame:
+    def summarise(vectors: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({
-            "terms": vectors.map(lambda v: len(v.indices)), "weight_sum": vectors.map(lambda v: float(v.values.sum()))})
+            "terms": vectors["indices"].map(len), "weight_sum": vectors["values"].map(lambda w: float(sum(w)))})
 
     kind = StructType([StructField("terms", LongType()), StructField("weight_sum", DoubleType())])
     return F.pandas_udf(summarise, kind)(column)
@@ -747,7 +745,7 @@ _SCORES = """SELECT vec_id, k, sum(CAST(e.embedding[p] AS DOUBLE) * m) AS s FROM
 def batch_scoring(spark, sf):
     vectors = fx.table(spark, sf, "embeddings")
     centroids = models.fit_centroids(vectors, "embedding", "label")
-    scored = models.batch_scores(vectors, models.centroid_scorer(centroids), "embedding")
+    scored = models.batch_scores(vectors, models.centroid_scorer(centroids), "embedding", len(centroids[0]))
     return rounded(scored.select("vec_id", "y_pred", F.array_max("scores").alias("best")), 4)
 
 

@@ -105,7 +105,7 @@ def length_stats(
         F.sum("n").alias("n"),
         F.sum(value * n).cast("double").alias("total"),
         F.sum((value * value).cast("decimal(20,0)") * n).cast("double").alias("squares"),
-        F.percentile("value", 0.5, "n").alias("median"),
+        F.percentile("value", 0.5, F.col("n")).alias("median"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
@@ -140,7 +140,7 @@ def histogram(
     )
     centre = census.groupBy(*by).agg(
         (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"),
-        F.percentile("value", 0.5, "n").alias("median"),
+        F.percentile("value", 0.5, F.col("n")).alias("median"),
     )
     counted = ranged.groupBy(
         *by, position.cast("int").alias("bin"), "lo", width.alias("width")
@@ -159,7 +159,7 @@ def boxplot(
     """Quartiles, whiskers (furthest value within reach x IQR of the box) and outliers."""
     census = length_census(rows, length, by)
     quartiles = census.groupBy(*by).agg(
-        F.percentile("value", [0.25, 0.5, 0.75], "n").alias("q")
+        F.percentile("value", [0.25, 0.5, 0.75], F.col("n")).alias("q")
     ).select(
         *by, F.get("q", F.lit(0)).alias("q1"), F.get("q", F.lit(1)).alias("median"),
         F.get("q", F.lit(2)).alias("q3"),

@@ -46,10 +46,15 @@ def per_class_metrics(
 ) -> DataFrame:
     """Precision, recall, F1 and support for every label; undefined ratios are 0."""
     t, p, n = F.col("y_true"), F.col("y_pred"), F.col("n")
+    none = F.lit(0).cast("long")
+
+    def role(of: Column, support: Column, predicted: Column, tp: Column) -> Column:
+        return F.struct(
+            of.alias("class"), support.alias("support"), predicted.alias("predicted"), tp.alias("tp")
+        )
+
     roles = confusion.select(*by, F.inline(F.array(
-        F.struct(t.alias("class"), n.alias("support"), F.lit(0).cast("long").alias("predicted"),
-                 F.when(t == p, n).otherwise(0).alias("tp")),
-        F.struct(p, F.lit(0).cast("long"), n, F.lit(0).cast("long")),
+        role(t, n, none, F.when(t == p, n).otherwise(none)), role(p, none, n, none),
     )))
     sums = roles.groupBy(*by, "class").agg(
         F.sum("support").alias("support"), F.sum("predicted").alias("predicted"), F.sum("tp").alias("tp")
