@@ -126,7 +126,7 @@ UNION ALL SELECT 'num_dropped_rows', '', d, (SELECT count(*) FROM cls WHERE drop
 
 @query(_MANIFEST_SQL.format("cor"))
 def manifest(spark, sf):
-    corpus = build.build_corpus(fx.raw_records(spark, sf))
+    corpus = build.build_corpus(fx.raw_records(spark, sf), staged=True)
     return man.manifest_tidy(corpus.manifest_wide())
 
 

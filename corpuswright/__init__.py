@@ -1,7 +1,8 @@
 """Spark operators for building, auditing, featurising and evaluating labelled text corpora.
 
-Every operator takes and returns DataFrames and triggers no action, unless its
-name starts with ``fit_``, ``write_`` or ``stage``.
+Operators take and return DataFrames and are lazy, apart from ``fit_*``, ``write_*``
+and ``stage``, the exact group split (which first fits its two cut points) and the
+similarity joins (which stage the merged texts).
 """
 
 import sys

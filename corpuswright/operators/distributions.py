@@ -261,10 +261,10 @@ def drop_rate_check(drops: DataFrame, kept: DataFrame, threshold: float = 0.05)
 def class_weights(rows: DataFrame, label: str = "label_id") -> DataFrame:
     """Balanced weights n / (k * n_c) over the labels that occur."""
     counts = rows.groupBy(label).agg(F.count("*").alias("n"))
-    totals = counts.agg(F.struct(F.sum("n").alias("n"), F.count("*").alias("k"))).scalar()
-    return counts.select(
-        label, "n", (totals["n"].cast("double") / (totals["k"] * F.col("n"))).alias("weight")
-    )
+    # One row per label.
+    everything = Window.partitionBy(F.lit(0))
+    total, classes = F.sum("n").over(everything), F.count("*").over(everything)
+    return counts.select(label, "n", (total.cast("double") / (classes * F.col("n"))).alias("weight"))
 
 
 def with_class_weights(rows: DataFrame, label: str = "label_id", column: str = "weight") -> DataFrame:

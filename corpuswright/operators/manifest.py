@@ -40,12 +40,12 @@ def fingerprint(rows: DataFrame, exact_limit: int = EXACT_FINGERPRINT_FAMILIES)
         for i in range(_LIMBS)
     ]
     sums = ids.agg(F.count("*").alias("total_families"), *limbs)
-    # Rows beyond the limit never reach the single group: the guard is a count that
-    # Spark computes first.
-    allowed = ids.agg(F.count("*") <= exact_limit).scalar()
-    exact = ids.filter(allowed).agg(F.collect_set("family_id").alias("ids")).select(
-        F.when(F.size("ids") > 0, F.sha1(F.array_join(F.array_sort("ids"), "")))
-    )
+    # At most exact_limit + 1 ids ever reach the single group.
+    few = ids.limit(exact_limit + 1).agg(F.collect_set("family_id").alias("ids"))
+    exact = few.select(F.when(
+        (F.size("ids") > 0) & (F.size("ids") <= exact_limit),
+        F.sha1(F.array_join(F.array_sort("ids"), "")),
+    ))
     return sums.select(
         "total_families",
         exact.scalar().alias("families_hash_sha1"),

@@ -1,16 +1,18 @@
 """Group-aware splits: all rows of a family land in the same split.
 
 Families are ordered by a seeded hash and cut at exact positions. Only the two keys
-at the cuts have to be found: the bucket counts (at most 65,536 rows per stratum)
-say which hash bucket holds each cut and only those buckets are ranked. Every row is
-then labelled by comparing its own key with the cuts, without a join or a shuffle of
-the rows, so a family with very many rows costs nothing extra.
+at the cuts have to be found: the bucket counts (at most 65,536 numbers) say which hash
+bucket holds each cut, and only those buckets are ranked. Every row is then labelled by
+comparing its own key with the cuts, without a join or a shuffle of the rows, so a
+family with very many rows costs nothing extra.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from corpuswright.functions.scalar import hash_fraction, order_key
@@ -75,6 +77,66 @@ def _side(key: Column, train_cut: Column, val_cut: Column) -> Column:
     return F.when(key <= train_cut, "train").when(key <= val_cut, "val").otherwise("test")
 
 
+@dataclass(frozen=True)
+class GroupSplit:
+    """The last key of train and of val, None where the split has no group."""
+
+    seed: int
+    group: str
+    train_cut: str | None
+    val_cut: str | None
+
+    def assign(self, rows: DataFrame) -> DataFrame:
+        """Add the split column from the group id of each row alone."""
+        cuts = [F.lit(c).cast("string") for c in (self.train_cut, self.val_cut)]
+        return rows.withColumn("split", _side(_rank_key(self.seed, F.col(self.group)), *cuts))
+
+
+def fit_group_split(
+    rows: DataFrame,
+    ratios: Mapping[str, float] = DEFAULT_RATIOS,
+    seed: int = DEFAULT_SEED,
+    group: str = "family_id",
+) -> GroupSplit:
+    """Find the cuts for exact group counts: int(n*train), int(n*val), the rest."""
+    check_ratios(ratios)
+    key = _rank_key(seed, F.col("group_id"))
+    keyed = (
+        rows.select(F.col(group).alias("group_id")).distinct()
+        .select(key.alias("key"), F.substring(key, 1, _BUCKET_DIGITS).alias("bucket"))
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    )
+    try:
+        counts = sorted(keyed.groupBy("bucket").agg(F.count("*")).collect())
+        total = sum(n for _, n in counts)
+        train_end = int(total * ratios["train"])
+        targets = _positions(counts, (train_end, train_end + int(total * ratios["val"])))
+        within = Window.partitionBy("bucket").orderBy("key")
+        ranked = keyed.filter(F.col("bucket").isin([b for b, _ in targets.values()])).withColumn(
+            "rank", F.row_number().over(within)
+        )
+        wanted = F.lit(False)
+        for bucket, rank in targets.values():
+            wanted = wanted | ((F.col("bucket") == bucket) & (F.col("rank") == rank))
+        found = {(r.bucket, r.rank): r.key for r in ranked.filter(wanted).collect()}
+    finally:
+        keyed.unpersist()
+    train_cut, val_cut = (found.get(targets.get(i)) for i in range(2))
+    return GroupSplit(seed, group, train_cut, val_cut)
+
+
+def _positions(counts: list, ends: tuple[int, int]) -> dict[int, tuple[str, int]]:
+    """Bucket and rank within it of every 1-based position that is above 0."""
+    found = {}
+    before = 0
+    for bucket, n in counts:
+        for i, end in enumerate(ends):
+            if before < end <= before + n:
+                found[i] = (bucket, end - before)
+        before += n
+    return found
+
+
 def split_by_group(
     rows: DataFrame,
     ratios: Mapping[str, float] = DEFAULT_RATIOS,
@@ -82,19 +144,11 @@ def split_by_group(
     group: str = "family_id",
     groups: DataFrame | None = None,
 ) -> DataFrame:
-    """Add a split column with exact group counts: int(n*train), int(n*val), the rest.
+    """Fit the cuts and add the split column.
 
     groups may name a cheaper frame that holds the same group ids as rows.
     """
-    check_ratios(ratios)
-    source = rows if groups is None else groups
-    distinct = source.select(F.lit("").alias("stratum"), F.col(group).alias("group_id")).distinct()
-    cuts = _cut_keys(distinct, ratios, seed).agg(
-        F.struct(F.max("train_cut").alias("train_cut"), F.max("val_cut").alias("val_cut"))
-    )
-    cut = cuts.scalar()
-    key = _rank_key(seed, F.col(group))
-    return rows.withColumn("split", _side(key, cut["train_cut"], cut["val_cut"]))
+    return fit_group_split(rows if groups is None else groups, ratios, seed, group).assign(rows)
 
 
 def split_by_hash(
