@@ -9,6 +9,7 @@ from corpuswright.operators.dedup import dedup_within_split
 from corpuswright.operators.families import classify_rows, families, materialize_rows
 from corpuswright.operators.split import split_by_group
 from corpuswright.schema import LABELS, RAW_TEXT_FIELDS, SOURCES
+from corpuswright.sources.readers import spread
 
 RAW_FIELDS = list(RAW_TEXT_FIELDS)
 ALL_SOURCES = (*SOURCES, *(f"src{i}" for i in range(20)))
@@ -40,7 +41,8 @@ def chat_records(spark, sf) -> DataFrame:
 
 def document_records(spark, sf, idx: str = "doc_id") -> DataFrame:
     """One raw record per document: its text stands under field number doc_id % 4."""
-    return table(spark, sf, "documents").select(
+    documents = spread(table(spark, sf, "documents").select("doc_id", "source", "text"))
+    return documents.select(
         F.col(idx).cast("string").alias("idx"),
         F.col("source").alias("dataset_source"),
         *[F.when(F.col("doc_id") % 4 == i, F.col("text")).alias(f) for i, f in enumerate(RAW_FIELDS)],
@@ -87,7 +89,7 @@ def leaky(spark, sf) -> DataFrame:
 
 def labelled(spark, sf) -> DataFrame:
     """Documents with the four classes of their quality and toxicity labels, split."""
-    documents = table(spark, sf, "documents").select("doc_id", "source", "text")
+    documents = spread(table(spark, sf, "documents").select("doc_id", "source", "text"))
     label_id = (F.col("quality") * 2 + F.col("toxic")).cast("int")
     joined = documents.join(table(spark, sf, "labels"), "doc_id").select(
         F.concat(F.lit("doc_"), F.col("doc_id").cast("string")).alias("family_id"), "source",

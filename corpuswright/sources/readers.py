@@ -10,12 +10,19 @@ from pyspark.sql.types import StructType
 from corpuswright.schema import MANIFEST_SCHEMA, RAW_SCHEMA, SPLIT_ROW_SCHEMA
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Divide a scan of a few large files or row groups over all cores before costly
+    per-row work. A scan with at least one partition per core stays as it is."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def read_json_array(
     spark: SparkSession, path: str, schema: StructType = RAW_SCHEMA, pattern: str = "*.json"
 ) -> DataFrame:
     """Files that hold one array of records or one record. Such a file is read by a single
     task; use JSON lines for large inputs. Malformed files fail."""
-    return (
+    return spread(
         spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST")
         .option("pathGlobFilter", pattern).json(path)
     )
