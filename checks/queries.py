@@ -813,7 +813,7 @@ _RUN_SQL = """SELECT replace(model_name, '/', '-') AS model_name, seed, n AS tes
 
 
 def _results(spark, sf) -> DataFrame:
-    predicted = fx.predictions(spark, sf)
+    predicted = stage(fx.predictions(spark, sf), "predictions")
     return met.run_result(predicted, fx.timings(predicted))
 
 

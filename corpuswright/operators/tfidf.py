@@ -33,6 +33,16 @@ def terms(text: Column, config: TfidfConfig) -> Column:
     return tx.ngrams(tx.remove_words(tokens, config.stop_words), *config.ngram_range)
 
 
+def with_terms(rows: DataFrame, config: TfidfConfig = TfidfConfig()) -> DataFrame:
+    """Add the terms column, which the functions below use instead of splitting the text
+    again; worth it for rows that are staged and read more than once."""
+    return rows.select("*", tx.evaluate_once(terms(F.col("text"), config)).alias("terms"))
+
+
+def _terms_of(rows: DataFrame, config: TfidfConfig) -> Column:
+    return F.col("terms") if "terms" in rows.columns else terms(F.col("text"), config)
+
+
 def compact_term(term: Column) -> Column:
     """The term itself, or a prefix and digest of a very long one: at most 81 characters,
     which gives vocabularies a size bound. Terms contain no '#'."""
@@ -48,7 +58,7 @@ def term_statistics(
     often as its copies column says."""
     times = F.lit(1) if copies is None else F.col(copies)
     once = rows.select(
-        times.cast("long").alias("times"), tx.evaluate_once(terms(F.col("text"), config)).alias("terms")
+        times.cast("long").alias("times"), tx.evaluate_once(_terms_of(rows, config)).alias("terms")
     )
     # Every occurrence counts for tf; one entry per distinct term of the row counts for df.
     occurrences = F.transform("terms", lambda t: F.struct(t.alias("term"), F.lit(1).alias("tf"), F.lit(0).alias("df")))
@@ -98,7 +108,7 @@ def term_weights(
 
     Rows without a known term have no weights.
     """
-    occurrences = rows.select(key, F.explode(terms(F.col("text"), config)).alias("term"))
+    occurrences = rows.select(key, F.explode(_terms_of(rows, config)).alias("term"))
     matched = lookup(occurrences, known.select("term", "df", "idf"), config.max_features)
     counted = matched.groupBy(key, "term", "df", "idf").agg(F.count("*").cast("double").alias("tf"))
     scaled_tf = F.log("tf") + 1 if config.sublinear_tf else F.col("tf")
