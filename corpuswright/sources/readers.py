@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import warnings
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,12 @@ from pyspark.sql.types import StructType
 from corpuswright.schema import MANIFEST_SCHEMA, RAW_SCHEMA, SPLIT_ROW_SCHEMA
 
 
+def data_location(path: str) -> str:
+    """Place a relative path below the folder or URI named by DATA_ROOT, if it is set."""
+    root = os.environ.get("DATA_ROOT")
+    return path if not root or "://" in path or path.startswith("/") else f"{root.rstrip('/')}/{path}"
+
+
 def spread(scan: DataFrame) -> DataFrame:
     """Divide a scan of a few large files or row groups over all cores before costly
     per-row work. A scan with at least one partition per core stays as it is."""

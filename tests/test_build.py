@@ -223,3 +223,17 @@ def test_build_modes_agree(spark, sf):
     closed = build.build_corpus(raw, deduplicate="global").rows
     assert closed.groupBy("text").agg(F.count_distinct("split").alias("n")).filter("n > 1").count() == 0
     assert dist.families_per_split(lazy.rows).count() == 4
+
+
+def test_data_location(monkeypatch):
+    monkeypatch.delenv("DATA_ROOT", raising=False)
+    assert readers.data_location("raw") == "raw"
+    monkeypatch.setenv("DATA_ROOT", "s3a://bucket/data/")
+    assert readers.data_location("raw") == "s3a://bucket/data/raw"
+    assert readers.data_location("/abs") == "/abs"
+
+
+def test_spread_keeps_large_scans(spark):
+    many, few = spark.range(100, numPartitions=16), spark.range(100, numPartitions=1)
+    assert readers.spread(many).rdd.getNumPartitions() == 16
+    assert readers.spread(few).rdd.getNumPartitions() == 8

@@ -16,10 +16,15 @@ CASES = [
 
 
 def spec(text):
-    """Straight restatement of the normalisation contract."""
-    text = re.sub(r"\s+", " ", unicodedata.normalize("NFKC", text).strip())
-    text = "".join(c for c in text if c in " \t\n" or not unicodedata.category(c).startswith("C"))
-    return " ".join(text.split())
+    """The normalisation contract as a scan over the composed characters."""
+    out, gap = [], False
+    for c in unicodedata.normalize("NFKC", text):
+        if c.isspace():
+            gap = bool(out)
+        elif unicodedata.category(c)[0] != "C":
+            out += [" ", c] if gap else [c]
+            gap = False
+    return "".join(out)
 
 
 def apply(spark, values, fn, kind="string"):
