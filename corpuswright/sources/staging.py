@@ -16,13 +16,18 @@ _SETTING = "spark.checkpoint.dir"
 
 
 def staging_root(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a fresh local one only where none is set."""
-    configured = spark.conf.get(_SETTING, None) or spark.sparkContext.getCheckpointDir()
+    """The session's checkpoint folder.
+
+    Without one, a local session gets a fresh folder for its lifetime; a cluster has to
+    name a folder that all executors share.
+    """
+    context = spark.sparkContext
+    configured = spark.conf.get(_SETTING, None) or context.getCheckpointDir()
     if configured is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local[") and context.master != "local":
             raise ValueError(f"set {_SETTING} to a folder that all executors share")
-        configured = tempfile.mkdtemp(prefix="corpuswright-")
-        spark.conf.set(_SETTING, configured)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="corpuswright-"))
+        configured = context.getCheckpointDir()
     return configured.rstrip("/")
 
 
