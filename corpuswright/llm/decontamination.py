@@ -98,19 +98,30 @@ def contained_items(docs: DataFrame, items: DataFrame, threshold: float = THRESH
         *key, "item_id", (F.col("shared") / F.col("n")).alias("containment"))
 
 
+def leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(doc_id, text_key, item_ids, containment) for each document that an item leaks into."""
+    return stage(contained_items(docs, items, threshold).groupBy("doc_id", "text_key").agg(
+        F.sort_array(F.collect_set("item_id")).alias("item_ids"), F.max("containment").alias("containment")), "leaks")
+
+
 def decontaminate(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, text_key, kept, item_ids, containment), one row per row of docs.
+    """(doc_id, kept, item_ids, containment), one row per row of docs.
 
     kept is false where an item leaks into the document; item_ids lists those items in
-    order and containment is the highest share found (0.0 where none qualifies). Without
-    items every document is kept. Other columns of docs are not read.
+    order and containment is the highest share found (empty and 0.0 where none leaks).
+    Without items every document is kept. Other columns of docs are not read.
     """
-    hits = contained_items(docs, items, threshold).groupBy("doc_id", "text_key").agg(
-        F.sort_array(F.collect_set("item_id")).alias("item_ids"), F.max("containment").alias("containment"))
-    hits = stage(hits, "leaks")
+    found = leaks(docs, items, threshold)
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"))
-    same = rows["doc_id"].eqNullSafe(hits["doc_id"]) & (rows["text_key"] == hits["text_key"])
-    return rows.join(hits, same, "left").select(
-        rows["doc_id"], rows["text_key"], hits["containment"].isNull().alias("kept"),
-        F.coalesce("item_ids", F.array().cast(hits.schema["item_ids"].dataType)).alias("item_ids"),
+    same = rows["doc_id"].eqNullSafe(found["doc_id"]) & (rows["text_key"] == found["text_key"])
+    return rows.join(found, same, "left").select(
+        rows["doc_id"], found["containment"].isNull().alias("kept"),
+        F.coalesce("item_ids", F.array().cast(found.schema["item_ids"].dataType)).alias("item_ids"),
         F.coalesce("containment", F.lit(0.0)).alias("containment"))
+
+
+def clean(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of docs, all columns, into which no item leaks."""
+    found = leaks(docs, items, threshold).select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"))
+    same = docs["doc_id"].eqNullSafe(found["__id"]) & (F.xxhash64(docs["text"]) == found["__key"])
+    return docs.join(found, same, "left_anti")

@@ -59,6 +59,17 @@ class Words:
     def __len__(self) -> int:
         return len(self.starts)
 
+    def part_marks(self) -> None:
+        """Make the ASCII marks that end a word, behind a small ASCII letter, a word of their own."""
+        kept = np.where(_LETTERS[self.codes], np.arange(len(self.codes)), -1)
+        cuts = np.maximum.accumulate(kept)[self.ends - 1] + 1
+        before = self.codes[np.maximum(cuts - 1, 0)]
+        marked = np.nonzero((cuts < self.ends) & (cuts > self.starts) & (before >= 97) & (before <= 122))[0]
+        self.starts = np.insert(self.starts, marked + 1, cuts[marked])
+        ends = self.ends.copy()
+        ends[marked] = cuts[marked]
+        self.ends = np.insert(ends, marked + 1, self.ends[marked])
+
     def hashes(self, length: int | None = None) -> np.ndarray:
         """64-bit hash of each word, or of its first length bytes."""
         if self._sums is None:

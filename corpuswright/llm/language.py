@@ -155,7 +155,7 @@ def fit(rows: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "
     import numpy as np
 
     known = rows.select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.col(doc_id).alias("doc_id")).filter(
-        F.col("lang").isNotNull() & F.col("text").isNotNull())
+        F.col("lang").isNotNull())
     counted = known.select("text").mapInArrow(_document_frequencies, "feature long, n long")
     df = dict(counted.groupBy("feature").agg(F.sum("n")).collect())
     if not df:

@@ -212,7 +212,7 @@ def fit(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", sample_rows
         return None
     model = estimate(patterns)
     share = min(1.0, sample_rows / sum(patterns.values()))
-    drawn = F.shiftrightunsigned(F.xxhash64(F.lit("sample"), F.col("doc_id").cast("string")), 11) / F.lit(float(2**53))
+    drawn = F.shiftrightunsigned(F.xxhash64(F.col("doc_id").cast("string"), F.monotonically_increasing_id()), 11) / F.lit(float(2**53))
 
     def sparse(batches: Iterator) -> Iterator:
         import pyarrow as pa

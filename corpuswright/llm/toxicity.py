@@ -13,6 +13,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, functions as F
 
 from corpuswright.llm.sampling import sample_by_label
+from corpuswright.sources.staging import stage
 
 BITS = 18
 SAMPLE_ROWS = 8000
@@ -93,17 +94,21 @@ def _train(docs: list, epochs: int = 12, rate: float = 0.3, penalty: float = 1e-
     return weights, bias
 
 
-def fit(rows: DataFrame, text: str = "text", label: str = "toxic", doc_id: str = "doc_id",
+def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "toxic", doc_id: str = "doc_id",
         sample_rows: int = SAMPLE_ROWS):
-    """(weights, bias) from about sample_rows of the rows whose label is 0 or 1.
+    """(weights, bias) from the texts of about sample_rows documents whose label is 0 or 1.
 
-    None when there is none. A null text counts as empty.
+    labels holds doc_id and label; of several labels of a document the highest counts.
+    None when no document is labelled. A null text counts as empty.
     """
     import numpy as np
 
-    known = rows.select(F.col(label).alias("label"), F.col(text).alias("text"), F.col(doc_id).alias("doc_id")).filter(
-        F.col("label").isin(0, 1))
-    sample = sample_by_label(known, "label", "doc_id", sample_rows).select("label", "text").mapInArrow(
+    known = labels.filter(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull()).groupBy(
+        F.col(doc_id).alias("doc_id")).agg(F.max(label).alias("label"))
+    chosen = stage(sample_by_label(known, "label", "doc_id", sample_rows), "sample")
+    # About sample_rows rows of two numbers.
+    texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(chosen), "doc_id")
+    sample = texts.select("label", "text").mapInArrow(
         _features, "label int, words array<int>, sentences array<int>").toArrow()
     docs = [
         (label, words.values.to_numpy().reshape(len(_PREFIXES), -1), sentences.values.to_numpy())
