@@ -133,7 +133,7 @@ _EMBEDDINGS = """
 WITH RECURSIVE valid AS (
   SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
   WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, x -> x <> 0)) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
 ), links AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM valid a JOIN valid b
     ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
@@ -148,10 +148,10 @@ FROM embeddings e JOIN least l ON l.a = e.vec_id LEFT JOIN counted c ON c.a = e.
 
 _LEAKS = r"""
 WITH words AS (
-  SELECT 'doc' AS kind, doc_id AS id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), x -> x <> '') AS w
+  SELECT 'doc' AS kind, doc_id AS id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w
   FROM documents
   UNION ALL
-  SELECT 'item', item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), x -> x <> '')
+  SELECT 'item', item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '')
   FROM benchmark
 ), shingles AS (
   SELECT DISTINCT kind, id, array_to_string(w[i:i + 4], ' ') AS s
