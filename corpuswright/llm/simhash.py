@@ -16,6 +16,7 @@ from __future__ import annotations
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import LongType
 
 from corpuswright.llm.components import components
 from corpuswright.sources.staging import stage
@@ -30,7 +31,7 @@ _PAIRED_LIST = 64
 _SLICE = 1 << 16
 
 
-@F.arrow_udf("long")
+@F.arrow_udf(LongType())
 def fingerprint(texts):
     """Signed 64-bit fingerprint of each text given as UTF-8 binary."""
     import numpy as np

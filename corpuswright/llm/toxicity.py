@@ -59,7 +59,7 @@ def _features(batches: Iterator) -> Iterator:
                 "sentences": pa.array([sentences], pa.list_(pa.int32()))})
 
 
-def _train(docs: list, epochs: int = 12, rate: float = 0.3, penalty: float = 1e-4, size: int = 64):
+def _train(docs: list, epochs: int = 30, rate: float = 0.5, penalty: float = 1e-5, size: int = 64):
     """Weights and bias of the sentence score, by Adagrad on the noisy-or log loss."""
     import numpy as np
 
