@@ -59,10 +59,19 @@ def _features(batches: Iterator) -> Iterator:
                 "sentences": pa.array([sentences], pa.list_(pa.int32()))})
 
 
-def _train(docs: list, epochs: int = 30, rate: float = 0.5, penalty: float = 1e-5, size: int = 64):
-    """Weights and bias of the sentence score, by Adagrad on the noisy-or log loss."""
+def _train(docs: list, epochs: int = 20, rate: float = 0.3, penalty: float = 1e-5, size: int = 64, least: int = 4):
+    """Weights and bias of the sentence score, by Adagrad on the noisy-or log loss.
+
+    Weights stay at 0 or above, so that harmless words do not hide an offence beside them.
+    Features in fewer than least of the sampled documents keep weight 0: they could only
+    be learned by heart.
+    """
     import numpy as np
 
+    seen = np.zeros(1 << BITS, np.int64)
+    for _, words, _ in docs:
+        seen[np.unique(words)] += 1
+
     weights, squares = np.zeros(1 << BITS), np.full(1 << BITS, 1e-6)
     bias, bias_square = -5.0, 1e-6
     shuffled = np.random.default_rng(5)
@@ -86,9 +95,9 @@ def _train(docs: list, epochs: int = 30, rate: float = 0.5, penalty: float = 1e-
             slope = np.where(labels == 1, -odds, 1.0)[owner] * p / len(part)
             touched, where = np.unique(words, return_inverse=True)
             g = np.bincount(where.ravel(), np.broadcast_to(slope[sentence], words.shape).ravel(), len(touched))
-            g += penalty * weights[touched]
+            g = np.where(seen[touched] >= least, g + penalty * weights[touched], 0.0)
             squares[touched] += g * g
-            weights[touched] -= rate * g / np.sqrt(squares[touched])
+            weights[touched] = np.maximum(weights[touched] - rate * g / np.sqrt(squares[touched]), 0)
             bias_square += slope.sum() ** 2
             bias -= rate * slope.sum() / np.sqrt(bias_square)
     return weights, bias
