@@ -28,12 +28,13 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def chat_records(spark, sf) -> DataFrame:
-    """One raw record per conversation: its first four turns are the four texts."""
-    turns = table(spark, sf, "conversations").filter(F.col("turn").between(0, 3))
-    return turns.groupBy("conv_id").agg(
-        *[F.max(F.when(F.col("turn") == i, F.col("text"))).alias(f) for i, f in enumerate(RAW_FIELDS)]
+    """One raw record per four turns of a conversation: they are the four texts."""
+    turns = table(spark, sf, "conversations")
+    part = F.floor(F.col("turn") / 4)
+    return turns.groupBy("conv_id", part.alias("part")).agg(
+        *[F.max(F.when(F.col("turn") % 4 == i, F.col("text"))).alias(f) for i, f in enumerate(RAW_FIELDS)]
     ).select(
-        F.col("conv_id").cast("string").alias("idx"),
+        F.concat_ws(".", F.col("conv_id").cast("string"), F.col("part").cast("string")).alias("idx"),
         F.get(F.array(*map(F.lit, SOURCES)), (F.col("conv_id") % 3).cast("int")).alias("dataset_source"),
         *[f"`{f}`" for f in RAW_FIELDS],
     )

@@ -95,11 +95,11 @@ def read_raw_dir(spark, sf):
     return _raw_named(readers.read_raw_dir(spark, path))
 
 
-@query(f"SELECT {FIELDS}, split FROM cor WHERE split = 'val'")
+@query(f"SELECT {FIELDS}, split FROM cor")
 def load_splits(spark, sf):
     path = new_location(spark, "splits")
     writers.write_splits(fx.corpus(spark, sf), path, "parquet")
-    return readers.load_splits(spark, path, "parquet").filter(F.col("split") == "val")
+    return readers.load_splits(spark, path, "parquet")
 
 
 @query(f"SELECT {FIELDS}, split FROM cor")
@@ -160,7 +160,8 @@ def manifest_check(spark, sf):
 
 
 @query("""SELECT (SELECT count(DISTINCT family_id) FROM cor) AS total_families,
-  (SELECT sha1(string_agg(family_id, '' ORDER BY family_id)) FROM (SELECT DISTINCT family_id FROM cor)) AS families_hash_sha1,
+  (SELECT sha1(string_agg(d, '' ORDER BY b)) FROM (SELECT substr(h, 1, 4) AS b, sha1(string_agg(h, '' ORDER BY h)) AS d
+    FROM (SELECT DISTINCT sha1(family_id) AS h FROM cor) GROUP BY 1)) AS families_hash_sha1,
   (SELECT sha1(concat_ws(':', """ + ", ".join(
       f"CAST(sum(CAST('0x' || substr(sha1(family_id), {1 + 6 * i}, 6) AS BIGINT)) AS BIGINT)" for i in range(6)
   ) + ")) FROM (SELECT DISTINCT family_id FROM cor)) AS families_hash_sum")
@@ -595,7 +596,7 @@ def cosine_pairs(spark, sf):
 def cosine_top10(spark, sf):
     """The sampling mode: 200 train rows against 100 val rows."""
     sample = sampling.sample_splits(fx.split_rows(spark, sf), {"train": 200, "val": 100})
-    pairs = similarity.cosine_pairs(sample, stop_words=fx.STOP_WORDS)
+    pairs = similarity.cosine_pairs(sample, max_features=10_000, stop_words=fx.STOP_WORDS)
     return rounded(similarity.most_similar(pairs))
 
 
@@ -644,20 +645,19 @@ def tfidf_weights(spark, sf):
     return rounded(tfidf.term_weights(train, tfidf.vocabulary(train)).select("id", "term", "weight"))
 
 
-@query("SELECT id, term, round(weight, 6) AS weight FROM wgt WHERE split = 'test'")
+@query("SELECT id, term, round(weight, 6) AS weight FROM wgt WHERE split <> 'train'")
 def tfidf_transform(spark, sf):
-    test = fx.labelled(spark, sf).filter(F.col("split") == "test")
-    return rounded(tfidf.term_weights(test, tfidf.vocabulary(_train(spark, sf))).select("id", "term", "weight"))
+    held_out = fx.labelled(spark, sf).filter(F.col("split") != "train")
+    return rounded(tfidf.term_weights(held_out, tfidf.vocabulary(_train(spark, sf))).select("id", "term", "weight"))
 
 
 @query("""SELECT lab.id, coalesce(n, 0) AS terms, coalesce(w, 0) AS weight_sum FROM lab LEFT JOIN (
-  SELECT id, count(*) AS n, round(sum(weight), 6) AS w FROM wgt GROUP BY id) USING (id) WHERE lab.split <> 'train'""")
+  SELECT id, count(*) AS n, round(sum(weight), 6) AS w FROM wgt GROUP BY id) USING (id)""")
 def feature_vectors(spark, sf):
     """Sparse vectors, summarised by their number of terms and the sum of weights."""
     vectors = models.fit_tfidf(_train(spark, sf))
-    held_out = fx.labelled(spark, sf).filter(F.col("split") != "train")
     summed = _sparse_summary("features")
-    return rounded(vectors.transform(held_out).select("id", F.explode(F.array(summed)).alias("v")).select(
+    return rounded(vectors.transform(fx.labelled(spark, sf)).select("id", F.explode(F.array(summed)).alias("v")).select(
         "id", F.col("v.terms").alias("terms"), F.col("v.weight_sum").alias("weight_sum")))
 
 
@@ -678,11 +678,11 @@ _TOKEN_SQL = r"""(SELECT id, split, regexp_extract_all(lower(text), '[\p{L}\p{N}
   SELECT id, coalesce(list(coalesce(token_id, 1) ORDER BY i) FILTER (WHERE i IS NOT NULL), []) AS ids FROM
     (SELECT id FROM lab) LEFT JOIN (SELECT id, unnest(t[1:254]) AS term, unnest(range(1, least(len(t), 254) + 1)) AS i FROM {_TOKEN_SQL}) USING (id)
     LEFT JOIN (SELECT term, row_number() OVER (ORDER BY count(*) DESC, term) + 3 AS token_id FROM
-      (SELECT unnest(t) AS term FROM {_TOKEN_SQL} WHERE split = 'train') GROUP BY term ORDER BY count(*) DESC, term LIMIT 2000) USING (term)
+      (SELECT unnest(t) AS term FROM {_TOKEN_SQL} WHERE split = 'train') GROUP BY term ORDER BY count(*) DESC, term LIMIT 20000) USING (term)
   GROUP BY id)""")
 def encode_fixed(spark, sf):
-    known = encoding.token_ids(_train(spark, sf), max_tokens=2000)
-    encoded = encoding.encode_fixed(fx.labelled(spark, sf), known, 256, 2000)
+    known = encoding.token_ids(_train(spark, sf), max_tokens=20_000)
+    encoded = encoding.encode_fixed(fx.labelled(spark, sf), known, 256, 20_000)
     return encoded.select(
         "id", F.array_join("input_ids", " ").alias("input_ids"),
         F.array_join("attention_mask", " ").alias("attention_mask"))
@@ -817,14 +817,26 @@ def _results(spark, sf) -> DataFrame:
     return met.run_result(predicted, fx.timings(predicted))
 
 
-@query(_RUN_SQL)
-def run_result(spark, sf):
-    results = _results(spark, sf)
+def _run_rows(results: DataFrame) -> DataFrame:
     cells = F.array_join(F.flatten("confusion_matrix"), ",").alias("cells")
     return rounded(results.select("*", cells).drop(
         "per_class_f1", "per_class_precision", "per_class_recall", "confusion_matrix", "timestamp_utc"))
 
 
+@query(_RUN_SQL)
+def run_result(spark, sf):
+    return _run_rows(_results(spark, sf))
+
+
+@query(_RUN_SQL)
+def run_record_roundtrip(spark, sf):
+    """Run records written as JSON and read back."""
+    results = _results(spark, sf)
+    path = new_location(spark, "run-records")
+    writers.write_record(results, path)
+    return _run_rows(spark.read.schema(results.schema).json(path))
+
+
 @query("""SELECT replace(model_name, '/', '-') AS model_name, round(accuracy, 6) AS accuracy, round(macro_f1, 6) AS macro_f1,
   round(f1_T1, 6) AS "f1_T1", round(f1_T2, 6) AS "f1_T2", round(f1_T3, 6) AS "f1_T3", round(f1_T4, 6) AS "f1_T4",
   round(precision_macro, 6) AS precision_macro, round(recall_macro, 6) AS recall_macro, round(auroc_ovr, 6) AS auroc_ovr,
@@ -888,10 +900,10 @@ def confused_pairs(spark, sf):
     return rounded(met.confused_pairs(_confusion(spark, sf)))
 
 
-@query("""SELECT id, y_true, y_pred FROM prd WHERE model_name = 'forest' AND seed = 1 AND y_true <> y_pred ORDER BY id LIMIT 100""")
+@query("""SELECT model_name, seed, id, y_true, y_pred FROM prd WHERE y_true <> y_pred
+  QUALIFY row_number() OVER (PARTITION BY model_name, seed ORDER BY id) <= 100""")
 def misclassified(spark, sf):
-    run = fx.predictions(spark, sf).filter((F.col("model_name") == "forest") & (F.col("seed") == 1))
-    return met.misclassified(run).select("id", "y_true", "y_pred")
+    return met.misclassified(fx.predictions(spark, sf)).select("model_name", "seed", "id", "y_true", "y_pred")
 
 
 def _text_noise(column: str) -> str:

@@ -30,7 +30,7 @@ def side(train: float = 0.7, val: float = 0.15) -> str:
     return f"CASE WHEN r <= {a} THEN 'train' WHEN r <= {a} + {b} THEN 'val' ELSE 'test' END"
 
 
-_CASES = ", ".join(f"max(text) FILTER (WHERE turn = {i}) AS t{i}" for i in range(4))
+_CASES = ", ".join(f"max(text) FILTER (WHERE turn % 4 = {i}) AS t{i}" for i in range(4))
 _DOCS = ", ".join(f"CASE WHEN doc_id % 4 = {i} THEN text END AS t{i}" for i in range(4))
 _LONG = " UNION ALL ".join(
     f"SELECT family_id, source, 'T{i + 1}' AS label, {i} AS label_id, t{i} AS raw_text FROM fam" for i in range(4)
@@ -51,9 +51,9 @@ def noisy(key: str, noise) -> str:
 
 
 _CTES = {
-    "chats": f"""SELECT CAST(conv_id AS VARCHAR) AS idx,
+    "chats": f"""SELECT conv_id || '.' || (turn // 4) AS idx,
       CASE conv_id % 3 WHEN 0 THEN 'mrpc' WHEN 1 THEN 'paws' ELSE 'hlpc' END AS source, {_CASES}
-      FROM conversations WHERE turn BETWEEN 0 AND 3 GROUP BY conv_id""",
+      FROM conversations GROUP BY conv_id, turn // 4""",
     "docs": f"SELECT CAST(doc_id AS VARCHAR) AS idx, lower(source) AS source, {_DOCS} FROM documents",
     "fam": """SELECT source || '_' || idx AS family_id, source, t0, t1, t2, t3
       FROM (SELECT * FROM chats UNION ALL SELECT * FROM docs) WHERE idx IS NOT NULL AND source <> ''""",
@@ -135,7 +135,7 @@ _CTES = {
 }
 
 
-def _cosine(source: str, prefix: str) -> dict[str, str]:
+def _cosine(source: str, prefix: str, limit: str = "") -> dict[str, str]:
     """Brute-force cosine over all pairs of distinct texts that share a term."""
     p = prefix
     return {
@@ -148,7 +148,7 @@ def _cosine(source: str, prefix: str) -> dict[str, str]:
         f"{p}dtf": f"SELECT k, copies, term, count(*) AS tf FROM {p}tok GROUP BY ALL",
         f"{p}voc": f"""SELECT term, ln((1 + n) / (1 + CAST(sum(copies) AS DOUBLE))) + 1 AS idf
           FROM {p}dtf, (SELECT CAST(count(*) AS DOUBLE) AS n FROM {source}) GROUP BY term, n
-          ORDER BY sum(tf * copies) DESC, term LIMIT 10000""",
+          ORDER BY sum(tf * copies) DESC, term {limit}""",
         f"{p}wgt": f"""SELECT k, term, x / sqrt(sum(x * x) OVER (PARTITION BY k)) AS w
           FROM (SELECT k, term, tf * idf AS x FROM {p}dtf JOIN {p}voc USING (term))""",
         f"{p}prs": f"""SELECT l.left_id, r.right_id, l.left_copies, r.right_copies, c AS similarity
@@ -164,7 +164,7 @@ _CTES["cin"] = "SELECT id, text, split FROM spl WHERE split IN ('train', 'val')"
 _CTES.update(_cosine("cin", "c"))
 _CTES["sin"] = """SELECT id, text, split FROM spl WHERE split IN ('train', 'val') QUALIFY
   row_number() OVER (PARTITION BY split ORDER BY md5('42:' || id), id) <= CASE split WHEN 'train' THEN 200 ELSE 100 END"""
-_CTES.update(_cosine("sin", "s"))
+_CTES.update(_cosine("sin", "s", "LIMIT 10000"))
 
 
 def lexicon_swap(column: str) -> str:

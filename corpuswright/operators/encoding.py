@@ -28,25 +28,29 @@ def encode_fixed(
     key: str = "id",
 ) -> DataFrame:
     """(id, input_ids, attention_mask) of exactly max_length entries each, over a
-    vocabulary of at most max_tokens rows.
+    vocabulary of at most max_tokens rows, which is broadcast. Every row is encoded by
+    itself, rows that repeat an id too.
 
     Start and end marks enclose at most max_length - 2 tokens, padding follows; tokens
     outside the vocabulary become the unknown id.
     """
+    known = {r.term: r.token_id for r in vocabulary.select("term", "token_id").limit(max_tokens + 1).collect()}
+    if len(known) > max_tokens:
+        raise ValueError(f"the vocabulary has more than {max_tokens} terms")
+    shared = rows.sparkSession.sparkContext.broadcast(known)
+
+    @F.arrow_udf("array<int>")
+    def ids_of(tokens):
+        import pyarrow as pa
+
+        ids = shared.value
+        return pa.array([[ids.get(t, UNKNOWN) for t in row or ()] for row in tokens.to_pylist()], pa.list_(pa.int32()))
+
     tokens = tx.analyzer_tokens(F.col("text"), accents=True)
-    room = max_length - 2
-    placed = rows.select(key, F.posexplode_outer(F.slice(tokens, 1, room)).alias("position", "term"))
-    known = tfidf.lookup(placed, vocabulary, max_tokens, "left").select(
-        key, "position", F.when(F.col("term").isNotNull(), F.coalesce("token_id", F.lit(UNKNOWN))).alias("token_id")
-    )
-    # A group holds at most max_length - 2 integers.
-    entries = F.array_sort(F.collect_list(F.when(
-        F.col("token_id").isNotNull(), F.struct("position", "token_id")
-    )))
-    gathered = known.groupBy(key).agg(F.transform(entries, lambda e: e["token_id"].cast("int")).alias("ids"))
+    encoded = rows.select(key, ids_of(F.slice(tokens, 1, max_length - 2)).alias("ids"))
     marked = F.concat(F.array(F.lit(START)), F.col("ids"), F.array(F.lit(END)))
     missing = F.lit(max_length) - F.size("ids") - 2
-    return gathered.select(
+    return encoded.select(
         key,
         F.concat(marked, F.array_repeat(F.lit(PAD), missing)).alias("input_ids"),
         F.concat(F.array_repeat(F.lit(1), F.size("ids") + 2), F.array_repeat(F.lit(0), missing)).alias(

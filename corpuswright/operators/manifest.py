@@ -14,9 +14,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from corpuswright.functions.scalar import utc_now
 from corpuswright.schema import DEFAULT_RATIOS, DEFAULT_SEED, DROP_REASONS, LABELS, SPLITS
 
-# Above this many families the concatenated fingerprint is not computed: its input
-# would no longer fit one task.
-EXACT_FINGERPRINT_FAMILIES = 1_000_000
+# Leading hex digits of a family's digest that name its bucket.
+_BUCKET_DIGITS = 4
 _LIMBS = 6
 _MEANS = ("avg_len_char_per_split", "avg_len_word_per_split")
 _LENGTHS = ("text_len_char", "text_len_word")
@@ -26,29 +25,28 @@ def _distinct_families(rows: DataFrame) -> DataFrame:
     return rows.select("family_id").distinct()
 
 
-def fingerprint(rows: DataFrame, exact_limit: int = EXACT_FINGERPRINT_FAMILIES) -> DataFrame:
+def fingerprint(rows: DataFrame) -> DataFrame:
     """One row with the family count and two order-independent fingerprints.
 
-    families_hash_sha1 is the sha1 of the sorted, concatenated ids and null above
-    exact_limit. families_hash_sum adds the sha1 digests limb by limb (an additive
-    multiset hash), which needs constant memory at any size.
+    families_hash_sha1: families are put into 65,536 buckets by the sha1 of their id, a
+    bucket's digest is the sha1 of its sorted digests, and the fingerprint is the sha1
+    of the bucket digests in order; null without a family. families_hash_sum adds the
+    sha1 digests limb by limb (an additive multiset hash), in constant memory.
     """
-    ids = _distinct_families(rows)
-    digest = F.sha1("family_id")
+    digests = _distinct_families(rows).select(F.sha1("family_id").alias("digest"))
     limbs = [
-        F.sum(F.conv(F.substring(digest, 1 + 6 * i, 6), 16, 10).cast("long")).alias(f"limb{i}")
+        F.sum(F.conv(F.substring("digest", 1 + 6 * i, 6), 16, 10).cast("long")).alias(f"limb{i}")
         for i in range(_LIMBS)
     ]
-    sums = ids.agg(F.count("*").alias("total_families"), *limbs)
-    # At most exact_limit + 1 ids ever reach the single group.
-    few = ids.limit(exact_limit + 1).agg(F.collect_set("family_id").alias("ids"))
-    exact = few.select(F.when(
-        (F.size("ids") > 0) & (F.size("ids") <= exact_limit),
-        F.sha1(F.array_join(F.array_sort("ids"), "")),
-    ))
-    return sums.select(
-        "total_families",
-        exact.scalar().alias("families_hash_sha1"),
+    # One row per bucket from here on.
+    buckets = digests.groupBy(F.substring("digest", 1, _BUCKET_DIGITS).alias("bucket")).agg(
+        F.count("*").alias("n"), F.sha1(F.array_join(F.array_sort(F.collect_list("digest")), "")).alias("digest"), *limbs
+    )
+    ordered = F.array_sort(F.collect_list(F.struct("bucket", "digest")))["digest"]
+    sums = [F.sum(f"limb{i}").alias(f"limb{i}") for i in range(_LIMBS)]
+    total = buckets.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total_families"), F.array_join(ordered, "").alias("all"), *sums)
+    return total.select(
+        "total_families", F.when(F.col("total_families") > 0, F.sha1("all")).alias("families_hash_sha1"),
         F.sha1(F.concat_ws(":", *[f"limb{i}" for i in range(_LIMBS)])).alias("families_hash_sum"),
     )
 
@@ -67,11 +65,13 @@ def manifest_wide(
     classified: DataFrame | None = None,
     splits: Sequence[str] = SPLITS,
     labels: Sequence[str] = LABELS,
+    wide: DataFrame | None = None,
 ) -> DataFrame:
     """One row with every count and mean of the manifest as a column of its own.
 
     Mean lengths of an empty split are 0. Rows are the final rows with a split,
-    classified the rows before dropping (for the drop counters).
+    classified the rows before dropping and wide the families before that (for the drop
+    counters; families without an id are only in wide).
     """
     # Written as SQL text: one call per cell instead of a dozen keeps planning short.
     cells = ["count(*) AS total_rows", "count(DISTINCT family_id) AS total_families"]
@@ -83,14 +83,16 @@ def manifest_wide(
             f"coalesce(round(avg(CASE WHEN {inside} THEN {length} END), 2), 0D) AS `{mean}_{s}`"
             for mean, length in zip(_MEANS, _LENGTHS)
         ]
-    wide = rows.agg(*map(F.expr, cells))
+    counts = rows.agg(*map(F.expr, cells))
     if classified is None:
         dropped = {r: F.lit(0).cast("long") for r in DROP_REASONS}
     else:
         reasons = ", ".join(f"'{r}', count_if(drop_reason = '{r}')" for r in DROP_REASONS)
         counted = classified.agg(F.expr(f"named_struct({reasons})")).scalar()
         dropped = {r: counted[r] for r in DROP_REASONS}
-    return wide.select("*", *[dropped[r].alias(f"dropped_{r}") for r in DROP_REASONS])
+    if wide is not None:
+        dropped["missing_family_id"] = wide.agg(F.expr("count_if(family_id = '')")).scalar()
+    return counts.select("*", *[dropped[r].alias(f"dropped_{r}") for r in DROP_REASONS])
 
 
 def manifest_tidy(

@@ -144,9 +144,13 @@ def confused_pairs(
     )
 
 
-def misclassified(predictions: DataFrame, limit: int = 100, key: str = "id") -> DataFrame:
-    """The first limit wrong predictions by key."""
-    return predictions.filter(F.col("y_true") != F.col("y_pred")).orderBy(key).limit(limit)
+def misclassified(
+    predictions: DataFrame, limit: int = 100, key: str = "id", by: Sequence[str] = RUN
+) -> DataFrame:
+    """The first limit wrong predictions of each run by key."""
+    wrong = predictions.filter(F.col("y_true") != F.col("y_pred"))
+    place = F.row_number().over(Window.partitionBy(*by).orderBy(key, "y_true", "y_pred"))
+    return wrong.withColumn("__place", place).filter(F.col("__place") <= limit).drop("__place")
 
 
 def _buckets_of(score: Column) -> tuple[Column, Column]:

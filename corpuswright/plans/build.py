@@ -22,7 +22,7 @@ class Corpus:
     wide: DataFrame
 
     def manifest_wide(self, labels: Sequence[str] = LABELS) -> DataFrame:
-        return manifest.manifest_wide(self.rows, self.classified, labels=labels)
+        return manifest.manifest_wide(self.rows, self.classified, labels=labels, wide=self.wide)
 
 
 def build_corpus(
@@ -80,7 +80,7 @@ def write_corpus(
     if strict:
         require_valid(validation.validate_build(rows, sources=sources))
     writers.write_splits(rows, f"{path}/rows", file_format)
-    counts = manifest.manifest_wide(rows, corpus.classified)
+    counts = manifest.manifest_wide(rows, corpus.classified, wide=corpus.wide)
     digest = manifest.fingerprint(rows).select("families_hash_sha1").scalar()
     writers.write_record(manifest.manifest_record(counts, digest, seed, ratios), f"{path}/manifest")
     return rows

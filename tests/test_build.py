@@ -175,21 +175,28 @@ def test_manifest(spark, make_rows, tmp_path):
     writers.write_record(man.manifest_record(wide, digest.select("families_hash_sha1").scalar()), str(tmp_path / "m"))
     back = readers.read_manifest(spark, str(tmp_path / "m"))
     import hashlib
-    assert back.first().families_hash_sha1 == hashlib.sha1(b"f1f2").hexdigest()
+    digests = sorted(hashlib.sha1(f).hexdigest() for f in (b"f1", b"f2"))
+    whole = "".join(hashlib.sha1(d.encode()).hexdigest() for d in digests)
+    assert back.first().families_hash_sha1 == hashlib.sha1(whole.encode()).hexdigest()
     assert {(r.metric, r.split, r.label): r.value for r in man.tidy_from_record(back).collect()} == tidy
     checks = man.reconcile(man.manifest_tidy(wide), man.tidy_from_record(back)).collect()
     assert {c.status for c in checks if c.metric != "split_ratio"} == {"ok"}
     assert {c.status for c in checks if c.metric == "split_ratio"} == {"warning"}
 
 
-def test_fingerprint_limit_and_order(spark, make_rows):
+def test_manifest_counts_families_without_id(spark, make_rows):
+    rows = make_rows([("train", "f1", "T1", "one")])
+    wide = spark.createDataFrame([("f1",), ("",)], "family_id string")
+    assert man.manifest_wide(rows, wide=wide).first()["dropped_missing_family_id"] == 1
+
+
+def test_fingerprint_order(spark, make_rows):
     entries = [("train", f"f{i}", "T1", "x") for i in range(20)]
     a = man.fingerprint(make_rows(entries)).first()
     b = man.fingerprint(make_rows(entries[::-1]).repartition(7)).first()
     assert a == b and a.families_hash_sha1
-    limited = man.fingerprint(make_rows(entries), exact_limit=19).first()
-    assert limited.families_hash_sha1 is None and limited.families_hash_sum == a.families_hash_sum
-    assert man.fingerprint(make_rows(entries), exact_limit=20).first() == a
+    assert man.fingerprint(make_rows(entries[1:])).first().families_hash_sha1 != a.families_hash_sha1
+    assert man.fingerprint(make_rows([])).first().families_hash_sha1 is None
 
 
 def test_reconcile_finds_differences(make_rows):

@@ -66,6 +66,13 @@ def test_vectors_need_no_shuffle(make_rows):
     assert "Exchange" not in plan
 
 
+def test_encoding_keeps_rows_that_repeat_an_id(make_rows):
+    rows = make_rows([("train", "f0", "T1", "aa bb"), ("train", "f0", "T1", "bb")])
+    vocabulary = encoding.token_ids(rows, max_tokens=2)
+    got = sorted(r.input_ids for r in encoding.encode_fixed(rows, vocabulary, 4, 2).collect())
+    assert got == [[2, 4, 3, 0], [2, 5, 4, 3]] or got == [[2, 4, 5, 3], [2, 5, 3, 0]]
+
+
 def test_fixed_length_encoding(make_rows):
     rows = make_rows([("train", "f0", "T1", "aa bb aa"), ("train", "f1", "T1", "cc aa bb zz yy"), ("train", "f2", "T1", "!")])
     vocabulary = encoding.token_ids(rows, max_tokens=2)
