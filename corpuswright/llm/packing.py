@@ -25,9 +25,9 @@ from corpuswright.sources.staging import stage
 CAPACITY = 4096
 END_ID = 1
 # Words remembered by a Python worker, about 40 bytes each; beyond that it starts afresh.
-_REMEMBERED = 3_000_000
+_REMEMBERED = 1_000_000
 # Bytes of text that are encoded together.
-_CHUNK = 2_000_000
+_CHUNK = 1_000_000
 
 
 class Encoder:
@@ -43,7 +43,12 @@ class Encoder:
     _held: dict = {}
 
     def __init__(self, path: str):
+        import os
+
         import numpy as np
+
+        # A task has one core; threads would only hold memory of their own.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -72,7 +77,12 @@ class Encoder:
     def _encode(self, texts: list[str]):
         import numpy as np
 
-        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        # Few at a time: the library's results take many times the room of the ids.
+        slices = (texts[i : i + 32] for i in range(0, len(texts), 32))
+        return [
+            np.array(e.ids, "<u4") for part in slices
+            for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
+        ]
 
     def _encode_words(self, words: list[str]) -> Iterator[bytes]:
         """Ids of each word; many words at once where every one ends in one end token."""
@@ -101,7 +111,9 @@ class Encoder:
         counts = np.array([len(x) // 4 for x in encoded], np.int32)
         new = np.frombuffer(b"".join(encoded), "<u4")
         if self.used + len(new) > len(self.ids):
-            self.ids = np.resize(self.ids, 2 * (self.used + len(new)))
+            grown = np.empty((self.used + len(new)) * 3 // 2, np.uint32)
+            grown[: self.used] = self.ids[: self.used]
+            self.ids = grown
         self.ids[self.used : self.used + len(new)] = new
         places = self.used + np.cumsum(counts, dtype=np.int64) - counts
         self.used += len(new)
