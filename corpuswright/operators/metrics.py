@@ -154,13 +154,18 @@ def misclassified(
 
 
 def _buckets_of(score: Column) -> tuple[Column, Column]:
-    """Two order-preserving bucket numbers of a score: binary exponent, then mantissa."""
+    """Two order-preserving bucket numbers of a score: its exponent with the leading 10
+    bits of the mantissa, then the next 21 bits. The 21 bits left tell apart the scores of
+    a narrow bucket, so whatever the scores a window sees a few million rows at most."""
     size = F.abs(score)
     exponent = F.when(size > 0, F.floor(F.log2(size))).otherwise(-2000)
-    mantissa = F.when(size > 0, F.floor((size / F.pow(F.lit(2.0), exponent) - 1) * 65536)).otherwise(0)
+    # Scaling by powers of two and taking off whole numbers are exact.
+    scaled = F.when(size > 0, (size / F.pow(F.lit(2.0), exponent) - 1) * 2**10).otherwise(0.0)
+    leading = F.floor(scaled)
     sign = F.signum(score)
     # Offsets make exponents positive, so that larger negative numbers sort lower.
-    return (sign * (exponent + 2000)).cast("int"), (sign * mantissa).cast("int")
+    wide = (exponent + 2000) * 2**10 + leading
+    return (sign * wide).cast("int"), (sign * F.floor((scaled - leading) * 2**21)).cast("int")
 
 
 def auroc_one_vs_rest(
@@ -170,7 +175,8 @@ def auroc_one_vs_rest(
     no rows or all of them.
 
     Wins are counted bottom-up: among equal scores, within narrow score buckets, within
-    wide ones, then between the wide ones. No window spans the rows of a whole class.
+    wide ones, then between the wide ones. Scores crowded near 1 still fall into many
+    buckets, and no window spans the rows of a whole class.
     """
     per_class = predictions.select(*by, "y_true", F.posexplode(scores).alias("class", "score")).filter(
         F.col("class") < classes

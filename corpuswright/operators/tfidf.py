@@ -106,12 +106,13 @@ def term_weights(
 ) -> DataFrame:
     """(id, term, df, weight): L2-normalised weights of the known terms of every row.
 
-    Rows without a known term have no weights.
+    Rows without a known term have no weights; rows that repeat an id are weighed apart.
     """
-    occurrences = rows.select(key, F.explode(_terms_of(rows, config)).alias("term"))
+    placed = rows.withColumn("_row", F.monotonically_increasing_id())
+    occurrences = placed.select("_row", key, F.explode(_terms_of(rows, config)).alias("term"))
     matched = lookup(occurrences, known.select("term", "df", "idf"), config.max_features)
-    counted = matched.groupBy(key, "term", "df", "idf").agg(F.count("*").cast("double").alias("tf"))
+    counted = matched.groupBy("_row", key, "term", "df", "idf").agg(F.count("*").cast("double").alias("tf"))
     scaled_tf = F.log("tf") + 1 if config.sublinear_tf else F.col("tf")
-    raw = counted.select(key, "term", "df", (scaled_tf * F.col("idf")).alias("raw"))
-    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(key)))
+    raw = counted.select("_row", key, "term", "df", (scaled_tf * F.col("idf")).alias("raw"))
+    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("_row")))
     return raw.select(key, "term", "df", (F.col("raw") / norm).alias("weight"))

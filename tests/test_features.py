@@ -52,6 +52,31 @@ def test_weights_and_vectors_equal_brute_force(make_rows, config):
         expected = sorted(v for (i, _w), v in want.items() if i == row.id)
         assert sorted(row.features.values) == pytest.approx(expected)
         assert row.features.size == len(vectors.terms)
+        placed = {(row.id, vectors.terms[i]): w for i, w in zip(row.features.indices.tolist(), row.features.values)}
+        assert placed == {k: pytest.approx(v) for k, v in want.items() if k[0] == row.id}
+
+
+def test_rows_that_repeat_an_id_are_weighed_apart(spark):
+    config = tfidf.TfidfConfig(ngram_range=(1, 1), min_df=1, max_df=1.0)
+    rows = spark.createDataFrame([("a", "red"), ("a", "blue"), ("a", None), ("b", "")], "id string, text string")
+    known = tfidf.vocabulary(rows, config)
+    got = sorted((r.id, r.term, r.weight) for r in tfidf.term_weights(rows, known, config).collect())
+    assert got == [("a", "blue", 1.0), ("a", "red", 1.0)]
+
+
+def test_vectors_keep_very_long_terms(spark):
+    config = tfidf.TfidfConfig(ngram_range=(1, 1), min_df=1, max_df=1.0)
+    rows = spark.createDataFrame([("a", "x" * 5000 + " bb"), ("b", "x" * 4999 + "y")], "id string, text string")
+    vectors = models.fit_tfidf(rows, config)
+    assert vectors.terms == ("bb", "x" * 5000, "x" * 4999 + "y")
+    assert [list(r.features.indices) for r in vectors.transform(rows).orderBy("id").collect()] == [[0, 1], [2]]
+
+
+def test_macro_f1(spark):
+    pairs = [(0, 0.0), (0, 0.0), (0, 1.0), (1, 1.0), (2, 0.0)]
+    frame = spark.createDataFrame(pairs, "label_id int, prediction double")
+    assert models.MacroF1().evaluate(frame) == pytest.approx((2 / 3 + 2 / 3 + 0) / 3)
+    assert models.MacroF1().evaluate(frame.limit(0)) == 0.0
 
 
 def test_vocabulary_keys_are_bounded(spark, make_rows):

@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 from statistics import mean, stdev
 
 import pytest
@@ -83,6 +84,16 @@ def test_auroc_equals_pair_counting(spark, kind):
     assert macro == pytest.approx(mean(got[c] for c in range(3)))
 
 
+@pytest.mark.parametrize("low,most", [(0.0, 20), (1 - 2**-18, 20), (1 - 2**-30, 1000)])
+def test_score_buckets_divide_crowded_scores(spark, low, most):
+    rng = random.Random(4)
+    drawn = [low + (1 - low) * rng.random() for _ in range(2000)]
+    wide, narrow = met._buckets_of(F.col("score"))
+    buckets = [tuple(r) for r in spark.createDataFrame([(x,) for x in sorted(drawn)], "score double").select(wide, narrow, "score").collect()]
+    assert buckets == sorted(buckets)
+    assert max(Counter(b[:2] for b in buckets).values()) <= most
+
+
 def test_auroc_has_no_window_over_a_class(spark):
     plan = met.auroc_one_vs_rest(predictions(spark, [(0, 0, [0.1] * 4, 1)]))._jdf.queryExecution().optimizedPlan().toString()
     windows = [line for line in plan.splitlines() if "Window" in line]
