@@ -35,9 +35,10 @@ class Encoder:
 
     For tokenizers that ignore case, drop blanks, and encode runs of letters separately,
     the last token of each ending in "</w>". Then the ids of a word between ASCII blanks
-    can be remembered, under the 64-bit hash of its lower-cased bytes, and the
-    marks behind a letter can be taken as a word of their own. A text with a special token in it
-    is encoded whole.
+    can be remembered, under the 64-bit hash of its bytes, and the
+    marks behind a letter can be taken as a word of their own. Only ASCII words are
+    lower-cased before: a capital and a mark may not compose where the small letter does.
+    A text with a special token in it, in capitals or not, is encoded whole.
     """
 
     _held: dict = {}
@@ -52,7 +53,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = [t.content.encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         # Its own memory would only cost time: no word comes twice.
         self.tokenizer.model._resize_cache(0)
         vocabulary = self.tokenizer.get_vocab()
@@ -131,14 +132,14 @@ class Encoder:
 
         from corpuswright.llm.hashing import Words
 
-        whole = {i for i, t in enumerate(texts) if any(s in t for s in self.special)}
+        whole = {i for i, t in enumerate(map(bytes.lower, texts)) if any(s in t for s in self.special)}
         if whole:
             apart = [self._encode([t.decode()])[0] if i in whole else None for i, t in enumerate(texts)]
             ids, counts = self([b"" if i in whole else t for i, t in enumerate(texts)])
             each = np.split(ids, np.cumsum(counts)[:-1])
             each = [a if a is not None else b for a, b in zip(apart, each)]
             return np.concatenate(each), np.array([len(x) for x in each])
-        text = b"\n".join(texts).lower()
+        text = _lower_ascii_words(b"\n".join(texts))
         words = Words(text, blanks_only=True)
         words.part_marks()
         if not len(words):
@@ -163,6 +164,23 @@ class Encoder:
         return ids, np.bincount(owner, n, len(texts)).astype(np.int64)
 
 
+def _lower_ascii_words(raw: bytes) -> bytes:
+    """raw with the words between ASCII blanks in small letters, those beyond ASCII as they are."""
+    import numpy as np
+
+    from corpuswright.llm.hashing import Words
+
+    if raw.isascii():
+        return raw.lower()
+    words = Words(raw, blanks_only=True)
+    seen = np.concatenate([[0], np.cumsum(words.codes >= 128)])
+    beyond = seen[words.ends] > seen[words.starts]
+    edges = np.zeros(len(raw) + 1, np.int8)
+    edges[words.starts[beyond]], edges[words.ends[beyond]] = 1, -1
+    kept = np.cumsum(edges[:-1], dtype=np.int8).view(bool)
+    return np.where(kept, words.codes, np.frombuffer(raw.lower(), np.uint8)).tobytes()
+
+
 def cut_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID,
                   doc_id: str = "doc_id", text: str = "text", keep_ids: bool = False) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32): the ids of each document in pieces.
