@@ -37,13 +37,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest doc_id of each group of near duplicates.
+    """Keep the row with the smallest doc_id of each group of near duplicates.
 
-    Rows that repeat a doc_id count as one document and stay or go together; documents
-    without a doc_id cannot be told apart and stay.
+    Rows that repeat a doc_id, or have none, are judged one by one like others.
     """
-    repeated = simhash.near_duplicates(docs).filter(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(stage(repeated, "dropped"), "doc_id", "left_anti").select(*docs.columns)
+    return simhash.distinct_rows(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

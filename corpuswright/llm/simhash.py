@@ -119,6 +119,16 @@ def links(distinct: DataFrame) -> DataFrame:
     return pairs.unionByName(stars)
 
 
+def _classes(prints: DataFrame, least: Column) -> DataFrame:
+    """(fingerprint, least): for each fingerprint the smallest value of a column over its component."""
+    distinct = stage(prints.groupBy("fingerprint").agg(F.min(least).alias("least")), "distinct")
+    reached = stage(components(links(distinct)), "components")
+    classes = distinct.join(reached, F.col("fingerprint") == F.col("node"), "left").select(
+        "fingerprint", "least", F.coalesce("component", "fingerprint").alias("component"))
+    smallest = classes.groupBy("component").agg(F.min("least").alias("least"))
+    return stage(classes.drop("least").join(smallest, "component").select("fingerprint", "least"), "classes")
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, fingerprint, component_id, kept): one row per document.
 
@@ -129,11 +139,22 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     Other columns of docs are not read. An empty table gives an empty one.
     """
     prints = stage(fingerprints(docs, doc_id, text), "fingerprints")
-    distinct = stage(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least")), "distinct")
-    reached = stage(components(links(distinct)), "components")
-    classes = distinct.join(reached, F.col("fingerprint") == F.col("node"), "left").select(
-        "fingerprint", "least", F.coalesce("component", "fingerprint").alias("component"))
-    smallest = classes.groupBy("component").agg(F.min("least").alias("component_id"))
-    mapping = stage(classes.join(smallest, "component").select("fingerprint", "component_id"), "classes")
+    mapping = _classes(prints, F.col("doc_id")).withColumnRenamed("least", "component_id")
     return prints.join(mapping, "fingerprint").select(
         "doc_id", "fingerprint", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+
+
+def distinct_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each component, with all columns: the one with the smallest doc_id.
+
+    Rows are told apart by their place, not by doc_id, so of rows that share a doc_id, or
+    have none, only the near copies go. A null doc_id comes after all numbers. docs is
+    written once, with the places.
+    """
+    placed = stage(docs.withColumn("__row", F.monotonically_increasing_id()), "placed")
+    key = F.struct(F.col(doc_id).isNull().alias("missing"), F.col(doc_id).alias("doc_id"), F.col("__row").alias("row"))
+    prints = stage(
+        placed.select(key.alias("key"), fingerprint(F.col(text).cast("binary")).alias("fingerprint")), "fingerprints")
+    repeated = prints.join(_classes(prints, F.col("key")), "fingerprint").filter("key.row <> least.row")
+    dropped = stage(repeated.select(F.col("key.row").alias("__row")), "dropped")
+    return placed.join(dropped, "__row", "left_anti").select(*docs.columns)
