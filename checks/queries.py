@@ -592,6 +592,16 @@ def cosine_pairs(spark, sf):
     return rounded(similarity.cosine_pairs(fx.split_rows(spark, sf), stop_words=fx.STOP_WORDS))
 
 
+@query("""SELECT t.split, t.id, CASE WHEN t.split = 'train' THEN g.left_id ELSE g.right_id END AS class_id,
+  CAST(coalesce(n, 0) AS BIGINT) AS linked_texts FROM wst t JOIN wsg g ON g.k = md5(array_to_string(t.s, ' ')) LEFT JOIN (
+    SELECT 'train' AS split, left_id AS id, sum(right_copies) AS n FROM jac GROUP BY left_id UNION ALL
+    SELECT 'val', right_id, sum(left_copies) FROM jac GROUP BY right_id
+  ) l ON l.split = t.split AND l.id = CASE WHEN t.split = 'train' THEN g.left_id ELSE g.right_id END""")
+def near_duplicate_texts(spark, sf):
+    """Every text of both splits with its class and the number of texts linked to it."""
+    return similarity.near_duplicate_texts(fx.split_rows(spark, sf))
+
+
 @query(f"SELECT {_PAIR} FROM sprs ORDER BY sprs.similarity DESC, left_id, right_id LIMIT 10")
 def cosine_top10(spark, sf):
     """The sampling mode: 200 train rows against 100 val rows."""
