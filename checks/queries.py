@@ -699,8 +699,7 @@ def encode_fixed(spark, sf):
 
 
 def _logreg(spark, sf) -> baseline.BaselineRun:
-    return baseline.fit_baseline(
-        fx.labelled(spark, sf), lambda total: models.logistic_regression(total, max_iter=100))
+    return baseline.fit_baseline(fx.labelled(spark, sf), models.logistic_regression)
 
 
 @query()
@@ -718,24 +717,19 @@ def logreg_metrics(spark, sf):
 
 @query()
 def svm_metrics(spark, sf):
-    run = baseline.fit_baseline(
-        fx.labelled(spark, sf), lambda total: models.linear_svm(total, max_iter=20), "linear_svm")
+    run = baseline.fit_baseline(fx.labelled(spark, sf), models.linear_svm, "linear_svm")
     return met.evaluate(run.predictions)
 
 
 @query()
 def rf_metrics(spark, sf):
-    run = baseline.fit_baseline(
-        fx.labelled(spark, sf), lambda total: models.random_forest(20, 8), "random_forest",
-        tfidf.TfidfConfig(max_features=2000))
+    run = baseline.fit_baseline(fx.labelled(spark, sf), lambda total: models.random_forest(), "random_forest")
     return met.evaluate(run.predictions)
 
 
 @query()
 def gbt_metrics(spark, sf):
-    run = baseline.fit_baseline(
-        fx.labelled(spark, sf), lambda total: models.gradient_boosting(3), "gradient_boosting",
-        tfidf.TfidfConfig(max_features=500))
+    run = baseline.fit_baseline(fx.labelled(spark, sf), lambda total: models.gradient_boosting(), "gradient_boosting")
     return met.evaluate(run.predictions)
 
 
