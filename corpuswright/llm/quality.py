@@ -55,13 +55,17 @@ def _tables():
 
 
 def _measure(text: str | None, scored: bool = True):
-    """(votes, feature numbers, values) of a whole text; sums over pieces of bounded length."""
+    """(votes, feature numbers, values) of a whole text; sums over pieces of bounded length.
+
+    Word pairs, marks and the last word are carried from piece to piece.
+    """
     import numpy as np
 
     from corpuswright.llm.hashing import Words, buckets, pieces
 
     shapes, odd, plain = _tables()
-    sums, n_words, n_lines = np.zeros(10), 0, 0
+    sums, n_words, n_lines = np.zeros(8), 0, 0
+    all_marks, all_pairs, before = np.zeros(256, np.int64), [], np.zeros(0, np.uint64)
     lines: set[int] = set()
     counts = None
     for piece in pieces((text or "").encode("utf-8", "replace")):
@@ -74,14 +78,17 @@ def _measure(text: str | None, scored: bool = True):
         upper, letters = kinds[ord("A")], kinds[ord("A")] + kinds[ord("a")] + kinds[ord("u")] / 2
         hashes, last = words.hashes(), codes[words.ends - 1]
         marks = np.bincount(last, minlength=256)
-        same = hashes[1:] == hashes[:-1]
-        pairs = hashes[1:] * np.uint64(3) + hashes[:-1]
+        chain = np.concatenate([before, hashes])
+        before = hashes[-1:]
+        same = chain[1:] == chain[:-1]
+        all_pairs.append(chain[1:] * np.uint64(3) + chain[:-1])
+        all_marks += marks
         single = (words.ends - words.starts == 1) & odd[last]
         # Capitals after the first letter, or an end that prose does not have.
         second = codes[np.minimum(words.starts + 1, words.ends - 1)]
         strange = ~plain[last] | ((second >= 65) & (second <= 90))
-        sums += [upper, letters, kinds[odd].sum(), len(codes), single.sum(), same.sum(), np.where(plain, 0, marks).max(),
-                 kinds[ord("0")], len(pairs) - len(np.unique(pairs)), strange.sum()]
+        sums += [upper, letters, kinds[odd].sum(), len(codes), single.sum(), same.sum(), kinds[ord("0")],
+                 strange.sum()]
         n_words += n
         punctuated = marks[[ord("."), ord("!"), ord("?")]].sum()
         sums_end = punctuated if n_lines == 0 else sums_end + punctuated
@@ -98,7 +105,9 @@ def _measure(text: str | None, scored: bool = True):
             counts = found if counts is None else counts + found
     if not n_words:
         return [NONE] * len(LABELLERS), np.zeros(0, np.int64), np.zeros(0)
-    upper, letters, symbols, size, single, stutter, mark, digits, pairs, strange = sums
+    upper, letters, symbols, size, single, stutter, digits, strange = sums
+    pairs = np.concatenate(all_pairs)
+    mark, pairs = np.where(plain, 0, all_marks).max(), len(pairs) - len(np.unique(pairs))
     shares = {
         "capitals": upper / max(letters, 1), "symbols": symbols / size, "separators": single / n_words,
         "one_mark": mark / n_words, "stutter": stutter / n_words, "repeated_lines": 1 - len(lines) / n_lines,
