@@ -58,8 +58,8 @@ _RAW_ALL = "SELECT idx, lower(source) AS dataset_source, t0, t1, t2, t3 FROM (SE
 
 
 def _write_arrays(spark, sf, path: str) -> None:
-    # At most 1,000 conversations per array.
-    block = F.floor(F.col("idx").cast("long") / 1000)
+    # The records of at most 1,000 conversations per array; idx is "conversation.part".
+    block = F.floor(F.substring_index("idx", ".", 1).cast("long") / 1000)
     arrays = fx.chat_records(spark, sf).groupBy(block.alias("block")).agg(
         F.to_json(F.collect_list(F.struct("idx", "dataset_source", *_RAW))).alias("value"))
     arrays.write.partitionBy("block").text(path)
