@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from corpuswright.llm import (
-    chat, decontamination, embedding_dedup, language, packing, quality, sharding, simhash, toxicity, urls,
+    bitplane_kmeans, chat, decontamination, embedding_dedup, language, packing, quality, sharding, simhash, toxicity, urls,
 )
 
 RULES = (
@@ -96,6 +96,13 @@ def op10_decontamination(spark, sf):
                         "containment")
 
 
+def op13_bitplanes(spark, sf):
+    """(vec_id, cluster, distance, cluster_inertia, inertia, centroid_sha256) of every usable vector."""
+    found = bitplane_kmeans.cluster_vectors(table(spark, sf, "embeddings"))
+    written = F.array_join(F.col("centroid").cast("array<string>"), ",")
+    return found.withColumn("centroid_sha256", F.sha2(written, 256)).drop("centroid")
+
+
 def pipeline(spark, sf):
     """Language, toxicity, near duplicates, benchmark leaks, packing, one after the other."""
     from corpus_pipeline import run
@@ -105,7 +112,7 @@ def pipeline(spark, sf):
 
 QUERIES = {f.__name__: f for f in (
     op1_quality, op2_language, op3_toxicity, op4_chat, op5_embeddings, op6_urls, op7_packing, op8_simhash, op9_sharding,
-    op10_decontamination, pipeline,
+    op10_decontamination, op13_bitplanes, pipeline,
 )}
 
 _URLS = """
@@ -169,4 +176,31 @@ SELECT d.doc_id, count(l.item_id) = 0 AS kept, coalesce(string_agg(l.item_id::VA
 FROM documents d LEFT JOIN leaks l ON l.doc_id = d.doc_id GROUP BY d.doc_id
 """
 
-ORACLE = {"op5_embeddings": _EMBEDDINGS, "op6_urls": _URLS, "op10_decontamination": _LEAKS}
+_ASSIGN = """a{0} AS (
+  SELECT k.vec_id, k.row, k.q, arg_min(c.cluster, c.d * 16 + c.cluster) AS cluster, min(c.d) AS d
+  FROM k JOIN (
+    SELECT k.row, c.cluster, list_sum(list_transform(list_zip(k.q, c.q), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+    FROM k, c{0} c) c ON c.row = k.row
+  GROUP BY ALL)"""
+_MOVE = """m{0} AS (
+  SELECT cluster, list(v ORDER BY i) AS q FROM (
+    SELECT cluster, i, ((s - ((s % n + n) % n)) // n)::BIGINT AS v FROM (
+      SELECT cluster, i, sum(q[i])::BIGINT AS s, count(*) AS n FROM a{0}, range(1, 65) r(i) GROUP BY ALL)) GROUP BY cluster),
+c{1} AS (SELECT c.cluster, coalesce(m.q, c.q) AS q FROM c{0} c LEFT JOIN m{0} m ON m.cluster = c.cluster)"""
+
+_BITPLANES = f"""
+WITH k AS (
+  SELECT vec_id, row_number() OVER () AS row, list_transform(embedding::DOUBLE[], lambda x: floor(64 * x)::BIGINT) AS q
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), c0 AS (
+  SELECT row_number() OVER (ORDER BY h) - 1 AS cluster, q
+  FROM (SELECT sha256('1:' || vec_id::VARCHAR) AS h, q FROM k ORDER BY h LIMIT 16)
+), {_ASSIGN.format(0)}, {_MOVE.format(0, 1)}, {_ASSIGN.format(1)}, {_MOVE.format(1, 2)},
+{_ASSIGN.format(2)}, {_MOVE.format(2, 3)}, {_ASSIGN.format(3)}
+SELECT a.vec_id, a.cluster::INTEGER AS cluster, a.d AS distance,
+  (sum(a.d) OVER (PARTITION BY a.cluster))::BIGINT AS cluster_inertia, (sum(a.d) OVER ())::BIGINT AS inertia,
+  sha256(array_to_string(c.q, ',')) AS centroid_sha256
+FROM a3 a JOIN c3 c ON c.cluster = a.cluster
+"""
+
+ORACLE = {"op13_bitplanes": _BITPLANES, "op5_embeddings": _EMBEDDINGS, "op6_urls": _URLS, "op10_decontamination": _LEAKS}
