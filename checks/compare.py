@@ -38,7 +38,7 @@ def duck(sf: str):
 
 
 def _plain(value):
-    if value is None or (isinstance(value, float) and value != value):
+    if value is None or value is pd.NA or (isinstance(value, float) and value != value):
         return None
     return tuple(value) if hasattr(value, "__len__") and not isinstance(value, str) else value
 
