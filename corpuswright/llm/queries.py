@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from corpuswright.llm import (
-    bitplane_kmeans, chat, decontamination, embedding_dedup, language, packing, quality, sharding, simhash, toxicity, urls,
+    bitplane_kmeans, chat, decontamination, embedding_dedup, language, packing, prefix_trie, quality, sharding, simhash, toxicity, urls,
 )
 
 RULES = (
@@ -96,6 +96,12 @@ def op10_decontamination(spark, sf):
                         "containment")
 
 
+def op12_prefix_trie(spark, sf):
+    """(conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256) of every node."""
+    turns = prefix_trie.digested(table(spark, sf, "conversations"))
+    return prefix_trie.build_trie(prefix_trie.with_borrowed_heads(turns))
+
+
 def op13_bitplanes(spark, sf):
     """(vec_id, cluster, distance, cluster_inertia, inertia, centroid_sha256) of every usable vector."""
     found = bitplane_kmeans.cluster_vectors(table(spark, sf, "embeddings"))
@@ -112,7 +118,7 @@ def pipeline(spark, sf):
 
 QUERIES = {f.__name__: f for f in (
     op1_quality, op2_language, op3_toxicity, op4_chat, op5_embeddings, op6_urls, op7_packing, op8_simhash, op9_sharding,
-    op10_decontamination, op13_bitplanes, pipeline,
+    op10_decontamination, op12_prefix_trie, op13_bitplanes, pipeline,
 )}
 
 _URLS = """
@@ -203,4 +209,45 @@ SELECT a.vec_id, a.cluster::INTEGER AS cluster, a.d AS distance,
 FROM a3 a JOIN c3 c ON c.cluster = a.cluster
 """
 
-ORACLE = {"op13_bitplanes": _BITPLANES, "op5_embeddings": _EMBEDDINGS, "op6_urls": _URLS, "op10_decontamination": _LEAKS}
+# CRC-32 of the decimal conv_id, bit by bit.
+_CRC = """xor(4294967295, list_reduce(
+  list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT)),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, i: xor(x >> 1, (x & 1) * 3988292384))))"""
+
+_TRIE = rf"""
+WITH turns AS (
+  SELECT conv_id, md5(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS x,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS place
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT DISTINCT conv_id, conv_id - conv_id % 20 AS lender, crc % 4 AS h FROM (
+    SELECT conv_id, {_CRC} AS crc FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL))
+), rebuilt AS (
+  SELECT c.conv_id, 0 AS kind, t.place, t.x, t.words FROM convs c JOIN turns t ON t.conv_id = c.lender AND t.place <= c.h
+  UNION ALL
+  SELECT c.conv_id, 1, t.place, t.x, t.words FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.place > c.h
+), seqs AS (
+  SELECT conv_id, list(x ORDER BY kind, place) AS xs, list(words ORDER BY kind, place) AS ws FROM rebuilt GROUP BY conv_id
+), members AS (
+  SELECT conv_id, d AS depth, len(xs) AS length, md5(array_to_string(xs[1:d], '')) AS k, coalesce(ws[d], 0) AS words
+  FROM (SELECT c.conv_id, coalesce(xs, []) AS xs, coalesce(ws, []) AS ws FROM convs c LEFT JOIN seqs s USING (conv_id)),
+    range(0, 100000) r(d) WHERE d <= len(xs)
+), base AS (
+  SELECT depth, k, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+    coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE length = depth), '') AS ids
+  FROM members GROUP BY depth, k
+), nodes AS (
+  SELECT b.*, m.k AS parent_k FROM base b LEFT JOIN members m ON m.conv_id = b.conv_id AND m.depth = b.depth - 1
+), children AS (SELECT parent_k AS k, depth - 1 AS depth, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL),
+counted AS (SELECT n.*, coalesce(c.n, 0) AS n_children FROM nodes n LEFT JOIN children c ON c.k = n.k AND c.depth = n.depth),
+below AS (
+  SELECT m.k, m.depth, sum((n.n_convs - 1) * n.words) AS saved, count(*) FILTER (WHERE n.n_children = 0) AS leaves
+  FROM counted n JOIN members m ON m.conv_id = n.conv_id AND m.depth <= n.depth GROUP BY ALL
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, b.leaves AS n_leaves,
+  b.saved::BIGINT AS saved_tokens, sha256(n.ids) AS ends_sha256
+FROM counted n JOIN below b ON b.k = n.k AND b.depth = n.depth LEFT JOIN base p ON p.k = n.parent_k AND p.depth = n.depth - 1
+"""
+
+ORACLE = {"op12_prefix_trie": _TRIE, "op13_bitplanes": _BITPLANES, "op5_embeddings": _EMBEDDINGS, "op6_urls": _URLS, "op10_decontamination": _LEAKS}
