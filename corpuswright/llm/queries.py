@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from corpuswright.llm import (
-    bitplane_kmeans, chat, decontamination, embedding_dedup, language, packing, prefix_trie, quality, sharding, simhash, toxicity, urls,
+    bitplane_kmeans, chat, decontamination, embedding_dedup, language, packing, prefix_trie, quality, secret_scan,
+    sharding, simhash, toxicity, urls,
 )
 
 RULES = (
@@ -96,6 +97,23 @@ def op10_decontamination(spark, sf):
                         "containment")
 
 
+def op11_secrets(spark, sf):
+    """(doc_id, n_assign, n_access, n_hex, base_sha256, spans) of every document."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    found = secret_scan.scan(docs, secret_scan.identifiers(docs))
+
+    def spans(base: bool) -> Column:
+        kept = F.filter("findings", lambda f: f["kind"] != "novel") if base else F.col("findings")
+        return F.array_join(F.transform(kept, lambda f: F.concat_ws(
+            ":", f["kind"], f["start"].cast("string"), f["end"].cast("string"))), ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("findings", lambda f: f["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", count("assign"), count("access"), count("hex"), F.sha2(spans(True), 256).alias("base_sha256"), spans(False).alias("spans"))
+
+
 def op12_prefix_trie(spark, sf):
     """(conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256) of every node."""
     turns = prefix_trie.digested(table(spark, sf, "conversations"))
@@ -118,7 +136,7 @@ def pipeline(spark, sf):
 
 QUERIES = {f.__name__: f for f in (
     op1_quality, op2_language, op3_toxicity, op4_chat, op5_embeddings, op6_urls, op7_packing, op8_simhash, op9_sharding,
-    op10_decontamination, op12_prefix_trie, op13_bitplanes, pipeline,
+    op10_decontamination, op11_secrets, op12_prefix_trie, op13_bitplanes, pipeline,
 )}
 
 _URLS = """
