@@ -41,3 +41,15 @@ def stage(frame: DataFrame, name: str) -> DataFrame:
     location = new_location(spark, name)
     frame.write.parquet(location)
     return spark.read.schema(frame.schema).parquet(location)
+
+
+def remove(frame: DataFrame) -> None:
+    """Delete the table that a frame of stage() reads, once nothing reads it any more."""
+    spark = frame.sparkSession
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(staging_root(spark)).toUri().getPath()
+    for file in frame.inputFiles()[:1]:
+        folder = hadoop.Path(file).getParent()
+        if folder.getParent().toUri().getPath() != root:
+            raise ValueError(f"{folder} is no staged table")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
