@@ -1,31 +1,44 @@
 """Seeded samples and heads.
 
 Every choice depends on a hash of the row id, so it does not change with the
-partitioning of the input. Row limits per group are applied inside the map tasks
-before the shuffle.
+partitioning of the input. Spark applies small row limits per group inside the map tasks
+before the shuffle; where it does not, the cut is found on digit counts.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from corpuswright.functions import text as tx
 from corpuswright.functions.scalar import hash_fraction, order_key
+from corpuswright.operators.selection import first_per_group, hex_digits, text_digits, with_rank
 from corpuswright.schema import DEFAULT_SEED
 
 
-def _first_per_group(rows: DataFrame, group: str, n: int, *order: Column | str) -> DataFrame:
-    nth = F.row_number().over(Window.partitionBy(group).orderBy(*order))
+def _first_per_group(
+    rows: DataFrame, group: str | None, n: int, order: Sequence[Column], digits: Sequence[Column]
+) -> DataFrame:
+    limit = int(rows.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
+    if n > limit:
+        return with_rank(first_per_group(rows, group, n, order, digits), group, order, digits[0], "rank")
+    parts = [] if group is None else [group]
+    nth = F.row_number().over(Window.partitionBy(*parts).orderBy(*order))
     return rows.withColumn("rank", nth).filter(F.col("rank") <= n)
 
 
+def _shuffled(seed: int, key: str) -> tuple[list[Column], list[Column]]:
+    """Order of the deterministic shuffle, and its digits."""
+    digest = order_key(seed, F.col(key))
+    return [digest, F.col(key)], hex_digits(digest)
+
+
 def sample_per_group(
     rows: DataFrame, group: str = "label", n: int = 5, seed: int = DEFAULT_SEED, key: str = "id"
 ) -> DataFrame:
     """Up to n rows of every group, with their rank in the sample."""
-    return _first_per_group(rows, group, n, order_key(seed, F.col(key)), F.col(key))
+    return _first_per_group(rows, group, n, *_shuffled(seed, key))
 
 
 def example_rows(rows: DataFrame, n: int = 5, seed: int = DEFAULT_SEED) -> DataFrame:
@@ -38,14 +51,14 @@ def example_rows(rows: DataFrame, n: int = 5, seed: int = DEFAULT_SEED) -> DataF
 
 def head_per_group(rows: DataFrame, group: str = "split", n: int = 3, key: str = "id") -> DataFrame:
     """The first n rows of every group by key."""
-    return _first_per_group(rows, group, n, key)
+    return _first_per_group(rows, group, n, [F.col(key)], text_digits(F.col(key).cast("string")))
 
 
 def sample_rows(
     rows: DataFrame, n: int, seed: int = DEFAULT_SEED, key: str = "id"
 ) -> DataFrame:
     """A uniform sample of n rows."""
-    return rows.orderBy(order_key(seed, F.col(key)), key).limit(n)
+    return _first_per_group(rows, None, n, *_shuffled(seed, key)).drop("rank")
 
 
 def sample_splits(
@@ -57,9 +70,7 @@ def sample_splits(
         chosen = F.when(F.col("split") == split, n)
         limit = chosen if limit is None else limit.when(F.col("split") == split, n)
     named = rows.filter(F.col("split").isin(*sizes))
-    ranked = _first_per_group(
-        named, "split", max(sizes.values()), order_key(seed, F.col(key)), F.col(key)
-    )
+    ranked = _first_per_group(named, "split", max(sizes.values()), *_shuffled(seed, key))
     return ranked.filter(F.col("rank") <= limit)
 
 

@@ -1,8 +1,8 @@
 """TF-IDF with document-frequency limits and a capped vocabulary.
 
-Term statistics need one shuffle keyed by the term, combined inside the map tasks.
-The vocabulary is at most max_features rows; occurrences outside it are dropped by a
-broadcast join before anything is grouped by document.
+Term statistics need one shuffle keyed by the term, combined inside the map tasks. They
+are staged, as is the vocabulary, which later passes read. Occurrences outside a small
+vocabulary are dropped by a broadcast join before anything is grouped by document.
 """
 
 from __future__ import annotations
@@ -12,8 +12,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from corpuswright.functions import text as tx
+from corpuswright.operators.selection import first_per_group, number_digits, text_digits
+from corpuswright.sources.staging import remove, stage
 
-# A vocabulary is broadcast only when its cap keeps it to a few tens of megabytes.
+# A vocabulary is broadcast up to this many rows, a few tens of megabytes.
 _BROADCAST_TERMS = 200_000
 
 
@@ -56,6 +58,11 @@ def term_statistics(
 ) -> DataFrame:
     """(term, tf, df): occurrences and number of rows holding the term. A row counts as
     often as its copies column says."""
+    return _statistics(rows, config, copies).filter("term IS NOT NULL")
+
+
+def _statistics(rows: DataFrame, config: TfidfConfig, copies: str | None) -> DataFrame:
+    """Term statistics; the null term counts the rows, so that one pass gives both."""
     times = F.lit(1) if copies is None else F.col(copies)
     once = rows.select(
         times.cast("long").alias("times"), tx.evaluate_once(_terms_of(rows, config)).alias("terms")
@@ -66,8 +73,9 @@ def term_statistics(
         F.array_distinct("terms"),
         lambda t: F.struct(t.alias("term"), F.lit(0).alias("tf"), F.lit(1).alias("df")),
     )
+    row = F.array(F.struct(F.lit(None).cast("string").alias("term"), F.lit(0).alias("tf"), F.lit(1).alias("df")))
     return (
-        once.select("times", F.inline(F.concat(occurrences, presence)))
+        once.select("times", F.inline(F.coalesce(F.concat(row, occurrences, presence), row)))
         .groupBy("term")
         .agg(F.sum(F.col("tf") * F.col("times")).alias("tf"), F.sum(F.col("df") * F.col("times")).alias("df"))
     )
@@ -76,23 +84,33 @@ def term_statistics(
 def vocabulary(
     rows: DataFrame, config: TfidfConfig = TfidfConfig(), copies: str | None = None
 ) -> DataFrame:
-    """(term, tf, df, idf) of the kept terms.
+    """(term, tf, df, idf) of the kept terms, as a staged table.
 
     Kept are terms within the document-frequency limits, the max_features most frequent
-    of them by occurrences, ties by term.
+    of them by occurrences, ties by term. The rows are read once; the cut is found on
+    counts of the frequencies, so no task sees all terms.
     """
-    n = rows.agg(F.count("*") if copies is None else F.sum(copies)).scalar().cast("double")
-    stats = term_statistics(rows, config, copies)
-    kept = stats.filter((F.col("df") >= config.min_df) & (F.col("df") <= n * config.max_df))
+    stats = stage(_statistics(rows, config, copies), "terms")
+    known = stage(_kept_terms(stats, config), "vocabulary")
+    remove(stats)
+    return known
+
+
+def _kept_terms(stats: DataFrame, config: TfidfConfig) -> DataFrame:
+    counted = stats.filter("term IS NULL").agg(F.sum("df").alias("n")).first()["n"]
+    n = F.lit(float(counted or 0))
+    kept = stats.filter(F.col("term").isNotNull() & (F.col("df") >= config.min_df) & (F.col("df") <= n * config.max_df))
     if config.max_features is not None:
-        kept = kept.orderBy(F.desc("tf"), "term").limit(config.max_features)
+        largest = kept.agg(F.max("tf").alias("tf")).first()["tf"] or 0
+        digits = [*number_digits(F.lit(largest) - F.col("tf"), largest), *text_digits(F.col("term"))]
+        kept = first_per_group(kept, None, config.max_features, [F.desc("tf"), F.col("term")], digits)
     return kept.select("term", "tf", "df", (F.log((n + 1) / (F.col("df") + 1)) + 1).alias("idf"))
 
 
-def lookup(occurrences: DataFrame, known: DataFrame, max_features: int | None, how: str = "inner") -> DataFrame:
-    """Join occurrences (with a term column) to a vocabulary. A capped vocabulary has
-    bounded rows with bounded keys and is broadcast; without a cap both sides shuffle."""
-    if max_features is None or max_features > _BROADCAST_TERMS:
+def lookup(occurrences: DataFrame, known: DataFrame, how: str = "inner") -> DataFrame:
+    """Join occurrences (with a term column) to a vocabulary. A vocabulary of few rows,
+    counted here, has keys of bounded length and is broadcast; otherwise both sides shuffle."""
+    if known.limit(_BROADCAST_TERMS + 1).count() > _BROADCAST_TERMS:
         return occurrences.join(known, "term", how)
     keyed = known.withColumn("_term", compact_term(F.col("term"))).drop("term")
     return (
@@ -110,7 +128,7 @@ def term_weights(
     """
     placed = rows.withColumn("_row", F.monotonically_increasing_id())
     occurrences = placed.select("_row", key, F.explode(_terms_of(rows, config)).alias("term"))
-    matched = lookup(occurrences, known.select("term", "df", "idf"), config.max_features)
+    matched = lookup(occurrences, known.select("term", "df", "idf"))
     counted = matched.groupBy("_row", key, "term", "df", "idf").agg(F.count("*").cast("double").alias("tf"))
     scaled_tf = F.log("tf") + 1 if config.sublinear_tf else F.col("tf")
     raw = counted.select("_row", key, "term", "df", (scaled_tf * F.col("idf")).alias("raw"))
