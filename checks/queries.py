@@ -710,6 +710,19 @@ def predictions(spark, sf):
     return spark.read.parquet(path).select("model_name", "seed", "id", "y_true", "y_pred", "text_len_word")
 
 
+@query("SELECT id, label_id AS y_true, text_len_word, TRUE AS reloaded_equal FROM lab WHERE split = 'test'")
+def predictions_reloaded(spark, sf):
+    """Predictions of a model that was saved and loaded again, beside those made before saving."""
+    path = new_location(spark, "baseline")
+    baseline.write_baseline(_logreg(spark, sf), path)
+    held_out = fx.labelled(spark, sf).filter(F.col("split") == "test")
+    again = models.predict(baseline.load_baseline(path), held_out, "tfidf_logreg")
+    before = spark.read.parquet(f"{path}/predictions").select("id", F.col("y_pred").alias("first"), F.col("scores").alias("first_scores"))
+    return again.join(before, "id", "left").select(
+        "id", "y_true", "text_len_word",
+        F.coalesce((F.col("y_pred") == F.col("first")) & (F.col("scores") == F.col("first_scores")), F.lit(False)).alias("reloaded_equal"))
+
+
 @query()
 def logreg_metrics(spark, sf):
     return met.evaluate(_logreg(spark, sf).predictions)

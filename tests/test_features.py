@@ -144,6 +144,22 @@ def test_baseline_artifacts_and_record(spark, separable, tmp_path):
     assert record.test_samples == 40 and record.model_size_mb == 1.0
 
 
+@pytest.mark.parametrize("make", [
+    models.logistic_regression, lambda total: models.linear_svm(total, max_iter=5), lambda total: models.random_forest(5, 4),
+    lambda total: models.gradient_boosting(3),
+])
+def test_saved_models_predict_the_same(separable, tmp_path, make):
+    run = baseline.fit_baseline(separable, make, config=tfidf.TfidfConfig(stop_words=("common",), max_features=50))
+    baseline.write_baseline(run, str(tmp_path / "run"))
+    loaded = baseline.load_baseline(str(tmp_path / "run"))
+    held_out = separable.filter("split = 'test'")
+    columns = ("id", "y_pred", "scores")
+    again = models.predict(loaded, held_out, "m").select(*columns).orderBy("id").collect()
+    assert again == run.predictions.select(*columns).orderBy("id").collect() and len(again) == 40
+    vectors = loaded.stages[0]
+    assert (vectors.terms, vectors.idf, vectors.config) == (run.vectors.terms, run.vectors.idf, run.vectors.config)
+
+
 def test_cross_validation_keeps_families_together(separable):
     vectors = models.fit_tfidf(separable)
     train = models.weighted(vectors.transform(separable))
