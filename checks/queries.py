@@ -14,7 +14,7 @@ from checks.sql import FIELDS, SOURCES_SQL, byte, lexicon_swap, noisy, norm, sid
 from corpuswright.functions import text as tx
 from corpuswright.functions.scalar import argmax, megabytes, throughput
 from corpuswright.operators import (
-    dedup, distributions as dist, encoding, families as fam, leakage, manifest as man, metrics as met,
+    cross_validation as cv, dedup, distributions as dist, encoding, families as fam, leakage, manifest as man, metrics as met,
     models, sampling, similarity, split, tfidf, validation as val,
 )
 from corpuswright.plans import audit, baseline, build
@@ -702,6 +702,28 @@ def _logreg(spark, sf) -> baseline.BaselineRun:
     return baseline.fit_baseline(fx.labelled(spark, sf), models.logistic_regression)
 
 
+_FOLDED = """(SELECT id, CAST(CAST('0x' || substr(md5('fold:42:' || family_id), 1, 8) AS BIGINT) % 5 AS INTEGER) AS fold
+  FROM lab WHERE split = 'train')"""
+
+
+@query(f"""SELECT CAST(k AS INTEGER) AS fold, term, tf, df, round(ln((1 + n) / (1 + CAST(df AS DOUBLE))) + 1, 6) AS idf FROM (
+  SELECT k, term, CAST(sum(tf) AS BIGINT) AS tf, count(*) AS df,
+    (SELECT CAST(count(*) AS DOUBLE) FROM {_FOLDED} c WHERE c.fold <> k) AS n
+  FROM dtf JOIN {_FOLDED} d USING (id), range(5) r(k) WHERE d.fold <> k GROUP BY k, term)
+  WHERE df >= 2 AND df <= n * CAST(0.95 AS DOUBLE)
+  QUALIFY row_number() OVER (PARTITION BY k ORDER BY tf DESC, term) <= 20000""")
+def cv_vocabularies(spark, sf):
+    """Each fold's vocabulary by complement statistics; the SQL counts every fold anew."""
+    return rounded(cv.fold_vocabularies(split.assign_folds(_train(spark, sf)), 5))
+
+
+@query()
+def cv_scores(spark, sf):
+    """Five-fold grid search over the strength of the penalty."""
+    candidates = {f"C={c}": lambda total, c=c: models.logistic_regression(total, c) for c in (0.1, 1.0)}
+    return rounded(cv.grid_scores(cv.cross_validate(_train(spark, sf), candidates)))
+
+
 @query()
 def predictions(spark, sf):
     """Logistic-regression predictions for the test split, written and read back."""
