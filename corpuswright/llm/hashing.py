@@ -10,9 +10,12 @@ _FACTOR = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_FACTOR), -1, 1 << 64))
 # A number per byte value, from a fixed rule.
 _BYTE = np.array([pow(0xD6E8FEB86659FD93, b + 3, (1 << 64) - 59) for b in range(256)], np.uint64)
-# Longest piece that is handled at once; longer texts are cut at a blank.
+# Bytes that are handled at once; longer texts are cut at a blank.
 PIECE = 1 << 18
+# A run without an ASCII blank that is longer counts as several words of this length.
+LONGEST_WORD = 1 << 22
 
+_BLANKS = (b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r")
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 _LETTERS = np.zeros(256, bool)
@@ -30,14 +33,21 @@ def _power(kind: str, n: int) -> np.ndarray:
 
 
 def pieces(raw: bytes) -> Iterator[bytes]:
-    """The text in pieces of bounded length, cut after a line, else a blank, else anywhere."""
+    """The text in pieces of about PIECE bytes, cut behind an ASCII blank.
+
+    A longer run without a blank is one piece up to LONGEST_WORD bytes, counted from its
+    own beginning, so that the words do not depend on where the pieces lie.
+    """
     at = 0
     while at < len(raw):
         end = min(at + PIECE, len(raw))
         if end < len(raw):
-            cut = max(raw.rfind(b"\n", at + PIECE // 2, end), raw.rfind(b".", at + PIECE // 2, end))
-            cut = cut if cut >= 0 else raw.rfind(b" ", at, end)
-            end = cut + 1 if cut > at else end
+            last = max(raw.rfind(blank, at, end) for blank in _BLANKS)
+            if last < 0:
+                end = min(at + LONGEST_WORD, len(raw))
+                following = [i for i in (raw.find(blank, at, end) for blank in _BLANKS) if i >= 0]
+                last = min(following, default=end - 1)
+            end = last + 1
         yield raw[at:end]
         at = end
 

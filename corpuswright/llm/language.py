@@ -34,26 +34,29 @@ class _Grams:
 
         if cls.table is None:
             cls.table = np.array([chr(c).isalpha() for c in range(0x110000)])
-        total = None
-        for at in range(0, len(text or ""), _PIECE):
-            # Two characters of overlap before a cut, so that no n-gram is lost.
-            piece = text[max(0, at - 2) : at + _PIECE].lower()
-            codes = np.frombuffer(piece.encode("utf-32-le", "surrogatepass"), np.uint32)
+        # The last two characters go before the next piece, so that each n-gram counts once.
+        lowered = (text or "").lower()
+        total, tail, after_letter, some = None, np.zeros(0, np.uint32), True, False
+        for at in range(0, len(lowered), _PIECE):
+            codes = np.frombuffer(lowered[at : at + _PIECE].encode("utf-32-le", "surrogatepass"), np.uint32)
             letters = cls.table[codes]
-            if not letters.any():
-                continue
+            some = some or letters.any()
             codes = np.where(letters, codes, np.uint32(32))
-            seen = letters[1:] | letters[:-1]
-            codes = codes[np.concatenate([[True], seen])]  # runs of blanks become one
+            kept = letters | np.concatenate([[after_letter], letters[:-1]])  # runs of blanks become one
+            after_letter, fresh = letters[-1], kept.sum()
+            codes = np.concatenate([tail, codes[kept]])
+            tail = codes[-2:]
+            if not fresh:
+                continue
             a = codes * np.uint32(0x9E3779B1)
             b = codes * np.uint32(0x85EBCA77)
             c = codes * np.uint32(0xC2B2AE3D)
-            grams = np.concatenate([a, a[:-1] + b[1:], a[:-2] + b[1:-1] + c[2:]])
+            grams = np.concatenate([a[-fresh:], (a[:-1] + b[1:])[-fresh:], (a[:-2] + b[1:-1] + c[2:])[-fresh:]])
             grams ^= grams >> np.uint32(15)
             numbers = (grams * np.uint32(0x2C1B3C6D)) >> np.uint32(32 - BITS)
             found = np.bincount(numbers, minlength=1 << BITS)
             total = found if total is None else total + found
-        return total
+        return total if some else None
 
 
 def _document_frequencies(batches: Iterator) -> Iterator:

@@ -38,7 +38,8 @@ class Encoder:
     can be remembered, under the 64-bit hash of its bytes, and the
     marks behind a letter can be taken as a word of their own. Only ASCII words are
     lower-cased before: a capital and a mark may not compose where the small letter does.
-    A text with a special token in it, in capitals or not, is encoded whole.
+    A text with a special token in it, in capitals or not, is encoded whole. Words of
+    equal hash are compared; where they differ, the texts at hand are encoded whole.
     """
 
     _held: dict = {}
@@ -64,9 +65,10 @@ class Encoder:
     def _forget(self) -> None:
         import numpy as np
 
-        # Sorted hashes with place and number of ids; tables are merged as they grow.
+        # Sorted hashes with place and number of ids, and of the word's bytes; merged as they grow.
         self.tables: list[tuple] = []
         self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.bytes, self.bytes_used = np.zeros(1 << 16, np.uint8), 0
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -110,15 +112,12 @@ class Encoder:
 
         encoded = self._word_ids(words)
         counts = np.array([len(x) // 4 for x in encoded], np.int32)
-        new = np.frombuffer(b"".join(encoded), "<u4")
-        if self.used + len(new) > len(self.ids):
-            grown = np.empty((self.used + len(new)) * 3 // 2, np.uint32)
-            grown[: self.used] = self.ids[: self.used]
-            self.ids = grown
-        self.ids[self.used : self.used + len(new)] = new
-        places = self.used + np.cumsum(counts, dtype=np.int64) - counts
-        self.used += len(new)
-        table = (hashes, places, counts)
+        raw = [w.encode() for w in words]
+        sizes = np.array([len(w) for w in raw], np.int32)
+        self.ids, places, self.used = _append(self.ids, self.used, np.frombuffer(b"".join(encoded), "<u4"), counts)
+        self.bytes, spots, self.bytes_used = _append(
+            self.bytes, self.bytes_used, np.frombuffer(b"".join(raw), np.uint8), sizes)
+        table = (hashes, places, counts, spots, sizes)
         while self.tables and len(self.tables[-1][0]) < 2 * len(table[0]):
             joined = [np.concatenate(pair) for pair in zip(self.tables.pop(), table)]
             order = np.argsort(joined[0], kind="stable")
@@ -148,10 +147,20 @@ class Encoder:
             self._forget()
         hashes, first, inverse = np.unique(words.hashes(), return_index=True, return_inverse=True)
         places, counts = np.zeros(len(hashes), np.int64), np.full(len(hashes), -1, np.int32)
-        for known, at, n in self.tables:
+        lengths = words.ends - words.starts
+        repeated = np.nonzero(first[inverse] != np.arange(len(inverse)))[0]
+        model = first[inverse[repeated]]
+        equal = _same(words.codes, words.starts[repeated], lengths[repeated], words.codes, words.starts[model], lengths[model])
+        for known, at, n, spots, sizes in self.tables:
             row = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
-            hit = known[row] == hashes
-            places[hit], counts[hit] = at[row[hit]], n[row[hit]]
+            hit = np.nonzero(known[row] == hashes)[0]
+            row = row[hit]
+            equal = equal and _same(
+                words.codes, words.starts[first[hit]], lengths[first[hit]], self.bytes, spots[row], sizes[row])
+            places[hit], counts[hit] = at[row], n[row]
+        if not equal:
+            each = self._encode([t.decode() for t in texts])
+            return np.concatenate(each), np.array([len(x) for x in each])
         new = np.nonzero(counts < 0)[0]
         if len(new):
             spans = zip(words.starts[first[new]].tolist(), words.ends[first[new]].tolist())
@@ -164,6 +173,29 @@ class Encoder:
         return ids, np.bincount(owner, n, len(texts)).astype(np.int64)
 
 
+def _append(held, used: int, new, counts):
+    """Put new behind the used part of a growing array: (array, place of each run, used now)."""
+    import numpy as np
+
+    if used + len(new) > len(held):
+        grown = np.empty((used + len(new)) * 3 // 2, held.dtype)
+        grown[:used] = held[:used]
+        held = grown
+    held[used : used + len(new)] = new
+    return held, used + np.cumsum(counts, dtype=np.int64) - counts, used + len(new)
+
+
+def _same(left, left_starts, left_lengths, right, right_starts, right_lengths) -> bool:
+    """Whether all runs of the one array equal those of the other."""
+    import numpy as np
+
+    if not np.array_equal(left_lengths, right_lengths):
+        return False
+    lengths = left_lengths.astype(np.int64)
+    inside = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    return bool((left[np.repeat(left_starts, lengths) + inside] == right[np.repeat(right_starts, lengths) + inside]).all())
+
+
 def _lower_ascii_words(raw: bytes) -> bytes:
     """raw with the words between ASCII blanks in small letters, those beyond ASCII as they are."""
     import numpy as np

@@ -57,8 +57,11 @@ def _tables():
 def _measure(text: str | None, scored: bool = True):
     """(votes, feature numbers, values) of a whole text; sums over pieces of bounded length.
 
-    Word pairs, marks and the last word are carried from piece to piece.
+    Pieces hold whole words; word pairs, marks and the last word are carried from piece to
+    piece, and lines are read by themselves, so nothing depends on where the pieces lie.
     """
+    from io import BytesIO
+
     import numpy as np
 
     from corpuswright.llm.hashing import Words, buckets, pieces
@@ -67,8 +70,13 @@ def _measure(text: str | None, scored: bool = True):
     sums, n_words, n_lines = np.zeros(8), 0, 0
     all_marks, all_pairs, before = np.zeros(256, np.int64), [], np.zeros(0, np.uint64)
     lines: set[int] = set()
-    counts = None
-    for piece in pieces((text or "").encode("utf-8", "replace")):
+    counts, sums_end = None, 0
+    raw = (text or "").encode("utf-8", "replace")
+    for line in BytesIO(raw):
+        if line.strip():
+            lines.add(crc32(line.removesuffix(b"\n")))
+            n_lines += 1
+    for piece in pieces(raw):
         words = Words(piece, blanks_only=True)
         n = len(words)
         if not n:
@@ -90,11 +98,7 @@ def _measure(text: str | None, scored: bool = True):
         sums += [upper, letters, kinds[odd].sum(), len(codes), single.sum(), same.sum(), kinds[ord("0")],
                  strange.sum()]
         n_words += n
-        punctuated = marks[[ord("."), ord("!"), ord("?")]].sum()
-        sums_end = punctuated if n_lines == 0 else sums_end + punctuated
-        kept = [line for line in piece.split(b"\n") if line.strip()]
-        n_lines += len(kept)
-        lines.update(map(crc32, kept))
+        sums_end += marks[[ord("."), ord("!"), ord("?")]].sum()
         if scored:
             shaped = Words.__new__(Words)
             shaped.codes, shaped.starts, shaped.ends, shaped._sums = shapes[codes], words.starts, words.ends, None

@@ -151,10 +151,13 @@ def distinct_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     have none, only the near copies go. A null doc_id comes after all numbers. docs is
     written once, with the places.
     """
-    placed = stage(docs.withColumn("__row", F.monotonically_increasing_id()), "placed")
-    key = F.struct(F.col(doc_id).isNull().alias("missing"), F.col(doc_id).alias("doc_id"), F.col("__row").alias("row"))
+    # Names by place cannot meet the names used here.
+    names = [f"__{i}" for i in range(len(docs.columns))]
+    own_id, own_text = (names[docs.columns.index(c)] for c in (doc_id, text))
+    placed = stage(docs.toDF(*names).withColumn("__row", F.monotonically_increasing_id()), "placed")
+    key = F.struct(F.col(own_id).isNull().alias("missing"), F.col(own_id).alias("doc_id"), F.col("__row").alias("row"))
     prints = stage(
-        placed.select(key.alias("key"), fingerprint(F.col(text).cast("binary")).alias("fingerprint")), "fingerprints")
+        placed.select(key.alias("key"), fingerprint(F.col(own_text).cast("binary")).alias("fingerprint")), "fingerprints")
     repeated = prints.join(_classes(prints, F.col("key")), "fingerprint").filter("key.row <> least.row")
     dropped = stage(repeated.select(F.col("key.row").alias("__row")), "dropped")
-    return placed.join(dropped, "__row", "left_anti").select(*docs.columns)
+    return placed.join(dropped, "__row", "left_anti").select(*names).toDF(*docs.columns)

@@ -17,28 +17,36 @@ from corpuswright.sources.staging import stage
 
 BITS = 18
 SAMPLE_ROWS = 8000
+# Text of the sample; what reaches the driver is about three times as much.
+SAMPLE_BYTES = 64 << 20
 # Words and their first bytes: endings vary, beginnings carry the stem.
 _PREFIXES = (None, 4, 5, 6)
 _ENDS = b".!?\n\r"
 
 
-def _sentences(text: str | None) -> Iterator[tuple]:
-    """(first byte, features by word, sentence by word, starts, ends) for each piece of a text."""
+def _sentences(text: str | None) -> tuple[list, list]:
+    """The words of a text piece by piece, as (features by word, sentence by word), and the sentences' bounds.
+
+    Sentences are numbered over the whole text, so one that goes on in the next piece keeps
+    its number. Bounds are the places of the end marks, with -1 before and the length behind.
+    """
     import numpy as np
 
     from corpuswright.llm.hashing import Words, buckets, pieces
 
     ends_at = np.zeros(256, bool)
     ends_at[list(_ENDS)] = True
-    at = 0
-    for piece in pieces((text or "").lower().encode("utf-8", "replace")):
+    raw = (text or "").lower().encode("utf-8", "replace")
+    at, before, found, bounds = 0, 0, [], [np.array([-1])]
+    for piece in pieces(raw):
         words = Words(piece)
         ends = np.nonzero(ends_at[words.codes])[0]
         if len(words):
-            sentence = np.searchsorted(ends, words.starts)
             features = np.stack([buckets(words.hashes(k), i, BITS) for i, k in enumerate(_PREFIXES)])
-            yield at, features, sentence, np.append(0, ends + 1), np.append(ends, len(piece))
-        at += len(piece)
+            found.append((features, before + np.searchsorted(ends, words.starts)))
+        bounds.append(at + ends)
+        at, before = at + len(piece), before + len(ends)
+    return found, np.concatenate([*bounds, [len(raw)]])
 
 
 def _features(batches: Iterator) -> Iterator:
@@ -47,13 +55,9 @@ def _features(batches: Iterator) -> Iterator:
 
     for batch in batches:
         for label, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            words, sentences, before = [], [], 0
-            for _, features, sentence, starts, _ in _sentences(text.as_py()):
-                words.append(features)
-                sentences.append(sentence + before)
-                before += len(starts)
-            words = np.concatenate(words, axis=1) if words else np.zeros((len(_PREFIXES), 0), np.int64)
-            sentences = np.unique(np.concatenate(sentences), return_inverse=True)[1] if sentences else []
+            found, _ = _sentences(text.as_py())
+            words = np.concatenate([f for f, _ in found], axis=1) if found else np.zeros((len(_PREFIXES), 0), np.int64)
+            sentences = np.unique(np.concatenate([s for _, s in found]), return_inverse=True)[1] if found else []
             yield pa.RecordBatch.from_pydict({
                 "label": pa.array([label], pa.int32()), "words": pa.array([words.ravel()], pa.list_(pa.int32())),
                 "sentences": pa.array([sentences], pa.list_(pa.int32()))})
@@ -104,11 +108,13 @@ def _train(docs: list, epochs: int = 20, rate: float = 0.3, penalty: float = 1e-
 
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "toxic", doc_id: str = "doc_id",
-        sample_rows: int = SAMPLE_ROWS):
+        sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES):
     """(weights, bias) from the texts of about sample_rows documents whose label is 0 or 1.
 
     labels holds doc_id and label; of several labels of a document the highest counts.
-    None when no document is labelled. A null text counts as empty.
+    None when no document is labelled. A null text counts as empty. Of a doc_id on n rows
+    each row is drawn with chance 1/n, and if the texts drawn so would hold more than
+    sample_bytes, fewer rows are drawn.
     """
     import numpy as np
 
@@ -117,7 +123,13 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "to
     chosen = stage(sample_by_label(known, "label", "doc_id", sample_rows), "sample")
     # About sample_rows rows of two numbers.
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(chosen), "doc_id")
-    sample = texts.select("label", "text").mapInArrow(
+    copies = stage(texts.groupBy("doc_id").agg(
+        F.count("*").alias("copies"), F.sum(F.octet_length("text")).alias("bytes")), "copies")
+    size = copies.agg(F.sum(F.col("bytes") / F.col("copies"))).first()[0] or 0
+    drawn = F.shiftrightunsigned(F.xxhash64("doc_id", F.monotonically_increasing_id()), 11) / F.lit(float(2**53))
+    taken = texts.join(F.broadcast(copies.select("doc_id", "copies")), "doc_id").filter(
+        drawn < F.lit(min(1.0, sample_bytes / max(size, 1))) / F.col("copies"))
+    sample = taken.select("label", "text").mapInArrow(
         _features, "label int, words array<int>, sentences array<int>").toArrow()
     docs = [
         (label, words.values.to_numpy().reshape(len(_PREFIXES), -1), sentences.values.to_numpy())
@@ -147,13 +159,16 @@ def score(docs: DataFrame, model, text: str = "text", threshold: float = 0.5) ->
             clean, found = 0.0, []
             if shared.value is not None:
                 weights, bias = shared.value
-                for at, features, sentence, starts, ends in _sentences(value.as_py()):
-                    present, where = np.unique(sentence, return_inverse=True)
-                    z = bias + np.bincount(where, weights[features].sum(axis=0))
-                    clean += np.logaddexp(0, z).sum()
+                pieces, bounds = _sentences(value.as_py())
+                if pieces:
+                    sums = np.concatenate([weights[features].sum(axis=0) for features, _ in pieces])
+                    present, where = np.unique(np.concatenate([s for _, s in pieces]), return_inverse=True)
+                    z = bias + np.bincount(where, sums)
+                    clean = np.logaddexp(0, z).sum()
                     p = 1 / (1 + np.exp(-np.maximum(z, -700)))
-                    found += [
-                        {"start": at + starts[present[k]], "length": ends[present[k]] - starts[present[k]], "score": p[k]}
+                    starts, ends = bounds[present] + 1, bounds[present + 1]
+                    found = [
+                        {"start": starts[k], "length": ends[k] - starts[k], "score": p[k]}
                         for k in np.nonzero(p >= threshold)[0]
                     ]
             scores.append(float(-np.expm1(-clean)))
