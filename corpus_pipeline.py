@@ -16,6 +16,11 @@ from corpuswright.sources.staging import stage
 MIN_LANGUAGE_SCORE = 0.35
 
 
+def _aside(docs: DataFrame) -> DataFrame:
+    """docs with names by place for all columns but text, which no operator's own names can meet."""
+    return docs.toDF(*[c if c == "text" else f"__{i}" for i, c in enumerate(docs.columns)])
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents of a language that the model names with some certainty.
 
@@ -25,15 +30,17 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     model = language.fit(docs)
     if model is None:
         return docs
-    scored = language.identify(docs.withColumn("__text", F.col("text")), model, "__text")
+    plain = _aside(docs)
+    scored = language.identify(plain, model)
     kept = scored.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE))
-    return kept.select(*docs.columns)
+    return kept.select(*plain.columns).toDF(*docs.columns)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents that are not predicted toxic; all of them where no label exists."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).filter("predicted = 0").select(*docs.columns)
+    plain = _aside(docs)
+    return toxicity.score(plain, model).filter("predicted = 0").select(*plain.columns).toDF(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
