@@ -9,7 +9,9 @@ hashes of an item's shingles, its bottom-k MinHash. Items are partitioned by siz
 powers of two. For an item of n shingles a document must hold ceil(0.8 n), so with
 k = n - ceil(0.8 n) + 1 hashes at least one of the sketch lies in every document that
 qualifies: nothing is missed. Documents with fewer shingles than a size class asks for
-are not searched in that class. Candidates are verified by counting shingles exactly.
+are not searched in that class. The sketches and classes give the candidate pairs, which
+are written; only the documents in them are read again, and only the shingles of their
+own candidate items are counted, exactly.
 """
 
 from __future__ import annotations
@@ -75,27 +77,36 @@ def contained_items(docs: DataFrame, items: DataFrame, threshold: float = THRESH
     def bounded(frame: DataFrame) -> DataFrame:
         return F.broadcast(frame) if small else frame
 
-    vocabulary = shingles.select("hash", "shingle").distinct()
-    split = docs.select("doc_id", F.xxhash64("text").alias("text_key"), words(F.col("text")).alias("words"))
+    def shared(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+        """(key, size, shingle): distinct wanted shingles of rows (key, words)."""
+        each = _shingled(rows, key)
+        if small:  # spelled where the hash matches, next to the words
+            met = each.join(F.broadcast(wanted), "hash").filter(_spelled() == F.col("shingle"))
+        else:  # spelled before the shuffle, which must not carry the words with every shingle
+            spelled = each.select(*key, "size", "hash", _spelled().alias("own"))
+            met = spelled.join(wanted, "hash").filter("own = shingle")
+        return met.select(*key, "size", "shingle").distinct()
+
     key = ["doc_id", "text_key"]
-    found = stage(
-        _shingled(split, key).join(bounded(vocabulary), "hash").filter(_spelled() == F.col("shingle"))
-        .select(*key, "size", "shingle").distinct(),
-        "matched",
-    )
-    sketches = shingles.filter("sketched").select("item_id", "shingle", "size_class")
+    keyed = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
+    sketches = shingles.filter("sketched")
+    met = shared(keyed.select(*key, words(F.col("text")).alias("words")), sketches.select("hash", "shingle").distinct())
     # The smallest item of a class has 2^class shingles.
     enough = F.col("size") >= F.ceil(F.pow(F.lit(2.0), F.col("size_class")) * F.lit(threshold) - F.lit(1e-9))
-    candidates = (
-        found.join(bounded(sketches), "shingle").filter(enough).select(*key, "item_id").distinct()
-    )
-    tallied = (
-        found.join(bounded(shingles.select("item_id", "shingle", "n", "needed")), "shingle")
-        .groupBy(*key, "item_id").agg(F.count("*").alias("shared"), F.first("n").alias("n"), F.first("needed").alias("needed"))
-    )
-    same = [candidates[c].eqNullSafe(tallied[c]) for c in (*key, "item_id")]
-    return tallied.join(candidates, same, "left_semi").filter("shared >= needed").select(
-        *key, "item_id", (F.col("shared") / F.col("n")).alias("containment"))
+    candidates = stage(
+        met.join(bounded(sketches.select("item_id", "shingle", "size_class")), "shingle").filter(enough)
+        .select(*key, "item_id").distinct(), "candidates")
+    chosen = candidates.select(F.col("doc_id").alias("in_doc"), F.col("text_key").alias("in_text")).distinct()
+    texts = keyed.join(
+        chosen, F.col("doc_id").eqNullSafe(F.col("in_doc")) & (F.col("text_key") == F.col("in_text")), "left_semi")
+    held = shared(texts.select(*key, words(F.col("text")).alias("words")), shingles.select("hash", "shingle").distinct())
+    parts = shingles.select(F.col("item_id").alias("part_of"), F.col("shingle").alias("part"), "n", "needed")
+    wanted = candidates.join(bounded(parts), F.col("item_id").eqNullSafe(F.col("part_of"))).select(
+        F.col("doc_id").alias("in_doc"), F.col("text_key").alias("in_text"), "item_id", "part", "n", "needed")
+    found = F.col("doc_id").eqNullSafe(F.col("in_doc")) & (F.col("text_key") == F.col("in_text")) & (F.col("shingle") == F.col("part"))
+    tallied = held.join(wanted, found).groupBy(*key, "item_id").agg(
+        F.count("*").alias("shared"), F.first("n").alias("n"), F.first("needed").alias("needed"))
+    return tallied.filter("shared >= needed").select(*key, "item_id", (F.col("shared") / F.col("n")).alias("containment"))
 
 
 def leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
