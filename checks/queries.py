@@ -15,7 +15,7 @@ from corpuswright.functions import text as tx
 from corpuswright.functions.scalar import argmax, megabytes, throughput
 from corpuswright.operators import (
     cross_validation as cv, dedup, distributions as dist, encoding, families as fam, leakage, manifest as man, metrics as met,
-    models, sampling, similarity, split, tfidf, validation as val,
+    minhash, models, sampling, similarity, split, tfidf, validation as val,
 )
 from corpuswright.plans import audit, baseline, build
 from corpuswright.schema import LABELS, LENGTH_BUCKETS, ROW_FIELDS, SPLITS
@@ -615,6 +615,23 @@ def jaccard_summary(spark, sf):
     return similarity.pair_summary(similarity.jaccard_pairs(fx.split_rows(spark, sf)))
 
 
+@query("SELECT count(*) AS exact_pairs, TRUE AS all_right, TRUE AS recall_reached FROM jac")
+def minhash_recall(spark, sf):
+    """The approximate join beside the exact one: no wrong pair, and at least 0.9 of all."""
+    rows = fx.split_rows(spark, sf)
+    exact = similarity.jaccard_pairs(rows).select("left_id", "right_id", F.lit(True).alias("exact"))
+    found = minhash.approximate_jaccard_pairs(rows).select("left_id", "right_id", F.lit(True).alias("found"))
+    both = exact.join(found, ["left_id", "right_id"], "full")
+    return both.agg(
+        F.count("exact").alias("exact_pairs"), F.coalesce(F.every(F.col("exact").isNotNull()), F.lit(True)).alias("all_right"),
+        (F.count("found") >= F.count("exact") * 0.9).alias("recall_reached"))
+
+
+@query()
+def jaccard_pairs_approximate(spark, sf):
+    return rounded(minhash.approximate_jaccard_pairs(fx.split_rows(spark, sf)))
+
+
 # ---------------------------------------------------------------- features and models
 
 @query("SELECT id, array_to_string(t, ' ') AS tokens FROM tok")
