@@ -30,7 +30,7 @@ def prepare_chats(spark, sf):
     from corpuswright.plans import build
 
     corpus = build.build_corpus(fx.chat_records(spark, sf), staged=True)
-    return manifest.manifest_tidy(corpus.manifest_wide())
+    return manifest.manifest_cells(corpus.rows, corpus.dropped)
 
 
 def logreg_fit(spark, sf) -> float:

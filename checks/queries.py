@@ -6,7 +6,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from checks import fixtures as fx
@@ -15,7 +15,7 @@ from corpuswright.functions import text as tx
 from corpuswright.functions.scalar import argmax, megabytes, throughput
 from corpuswright.operators import (
     cross_validation as cv, dedup, distributions as dist, encoding, families as fam, leakage, manifest as man, metrics as met,
-    minhash, models, sampling, similarity, split, tfidf, validation as val,
+    minhash, models, sampling, similarity, sketches, split, tfidf, validation as val,
 )
 from corpuswright.plans import audit, baseline, build
 from corpuswright.schema import LABELS, LENGTH_BUCKETS, ROW_FIELDS, SPLITS
@@ -127,7 +127,40 @@ UNION ALL SELECT 'num_dropped_rows', '', d, (SELECT count(*) FROM cls WHERE drop
 @query(_MANIFEST_SQL.format("cor"))
 def manifest(spark, sf):
     corpus = build.build_corpus(fx.raw_records(spark, sf), staged=True)
-    return man.manifest_tidy(corpus.manifest_wide())
+    return man.manifest_cells(corpus.rows, corpus.dropped)
+
+
+@query("""SELECT d AS drop_reason, (SELECT count(*) FROM cls WHERE drop_reason = d) AS n
+  FROM unnest(['missing_family_id', 'empty_text', 'too_long', 'null_or_blank']) u(d)
+  UNION ALL SELECT 'classified', count(*) FROM cls""")
+def observed_drops(spark, sf):
+    """Drop counters observed by the job that stages the rows."""
+    corpus = build.build_corpus(fx.raw_records(spark, sf), staged=True)
+    return spark.createDataFrame(sorted(corpus.dropped.items()), "drop_reason string, n long")
+
+
+def _within(estimate: str, exact: str, error: float) -> Column:
+    return F.abs(F.col(estimate) - F.col(exact)) <= F.col(exact) * error + 1
+
+
+@query("""SELECT split, count(*) AS rows, TRUE AS families_ok, TRUE AS chars_ok, TRUE AS words_ok, TRUE AS share_ok
+  FROM spl GROUP BY split""")
+def sketch_summary(spark, sf):
+    """Sketches of two parts of the corpus, merged, beside exact answers: all within their errors."""
+    rows = fx.split_rows(spark, sf)
+    parts = [sketches.sketch_states(rows.filter(F.crc32(F.col("family_id").cast("binary")) % 3 == i)) for i in range(3)]
+    states = stage(parts[0].unionByName(parts[1]).unionByName(parts[2]), "sketches")
+    found = sketches.sketch_answers(sketches.merge_states(states))
+    # Rank of the estimated median within the exact order.
+    ranks = rows.join(F.broadcast(found.select("split", "chars_p50", "words_p50")), "split").groupBy("split").agg(
+        F.count_distinct("family_id").alias("exact"), F.avg((F.col("text_len_word") <= 256).cast("double")).alias("share"),
+        *[F.avg((F.col(f"text_len_{s[:-1]}") < F.col(f"{s}_p50")).cast("double")).alias(f"{s}_below") for s in ("chars", "words")],
+        *[F.avg((F.col(f"text_len_{s[:-1]}") <= F.col(f"{s}_p50")).cast("double")).alias(f"{s}_upto") for s in ("chars", "words")])
+    slack = sketches.RANK_ERROR
+    return found.join(ranks, "split").select(
+        "split", "rows", _within("families", "exact", sketches.DISTINCT_ERROR).alias("families_ok"),
+        *[((F.col(f"{s}_below") <= 0.5 + slack) & (F.col(f"{s}_upto") >= 0.5 - slack)).alias(f"{s}_ok") for s in ("chars", "words")],
+        (F.abs(F.col("share_within") - F.col("share")) <= slack).alias("share_ok"))
 
 
 _EXACT = "('total_rows', 'rows_per_split', 'rows_per_label_per_split')"

@@ -9,9 +9,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from corpuswright.functions.scalar import utc_now
+from corpuswright.functions.scalar import literal_rows, utc_now
 from corpuswright.schema import DEFAULT_RATIOS, DEFAULT_SEED, DROP_REASONS, LABELS, SPLITS
 
 # Leading hex digits of a family's digest that name its bucket.
@@ -66,12 +66,14 @@ def manifest_wide(
     splits: Sequence[str] = SPLITS,
     labels: Sequence[str] = LABELS,
     wide: DataFrame | None = None,
+    counted: Mapping[str, int] | None = None,
 ) -> DataFrame:
     """One row with every count and mean of the manifest as a column of its own.
 
     Mean lengths of an empty split are 0. Rows are the final rows with a split,
     classified the rows before dropping and wide the families before that (for the drop
-    counters; families without an id are only in wide).
+    counters; families without an id are only in wide). counted holds drop counters that
+    are known already, so that neither is read.
     """
     # Written as SQL text: one call per cell instead of a dozen keeps planning short.
     cells = ["count(*) AS total_rows", "count(DISTINCT family_id) AS total_families"]
@@ -84,12 +86,15 @@ def manifest_wide(
             for mean, length in zip(_MEANS, _LENGTHS)
         ]
     counts = rows.agg(*map(F.expr, cells))
-    if classified is None:
+    if counted is not None:
+        dropped = {r: F.lit(counted.get(r, 0)).cast("long") for r in DROP_REASONS}
+        classified = wide = None
+    elif classified is None:
         dropped = {r: F.lit(0).cast("long") for r in DROP_REASONS}
     else:
         reasons = ", ".join(f"'{r}', count_if(drop_reason = '{r}')" for r in DROP_REASONS)
-        counted = classified.agg(F.expr(f"named_struct({reasons})")).scalar()
-        dropped = {r: counted[r] for r in DROP_REASONS}
+        found = classified.agg(F.expr(f"named_struct({reasons})")).scalar()
+        dropped = {r: found[r] for r in DROP_REASONS}
     if wide is not None:
         dropped["missing_family_id"] = wide.agg(F.expr("count_if(family_id = '')")).scalar()
     return counts.select("*", *[dropped[r].alias(f"dropped_{r}") for r in DROP_REASONS])
@@ -113,6 +118,52 @@ def manifest_tidy(
     return wide.selectExpr(f"stack({len(cells)}, {', '.join(cells)}) AS (metric, split, label, value)")
 
 
+def manifest_cells(
+    rows: DataFrame, dropped: Mapping[str, int] | None = None, splits: Sequence[str] = SPLITS,
+    labels: Sequence[str] = LABELS,
+) -> DataFrame:
+    """The rows of manifest_tidy by grouping sets, for domains of any size.
+
+    One aggregation per (split, label) with families told apart by the same pass; totals
+    and splits are grouping sets over its few rows. The plan does not grow with the
+    domains. dropped holds the drop counters, observed while the rows were made.
+    """
+    spark = rows.sparkSession
+    # One row per family in a cell first, so that distinct families need no second pass.
+    per_family = rows.groupBy("family_id", "split", "label").agg(
+        F.count("*").alias("n"), F.sum(F.col(_LENGTHS[0]).cast("long")).alias("chars"), F.sum(F.col(_LENGTHS[1]).cast("long")).alias("words"))
+    smallest = F.min(F.struct("split", "label")).over(Window.partitionBy("family_id"))
+    marked = per_family.withColumn(
+        "first", F.col("family_id").isNotNull() & F.struct("split", "label").eqNullSafe(smallest))
+    census = marked.groupBy("split", "label").agg(
+        F.sum("n").alias("n"), F.sum("chars").alias("chars"), F.sum("words").alias("words"), F.count_if("first").alias("families"))
+    sets = census.groupingSets([[], ["split"], ["split", "label"]], "split", "label").agg(
+        F.grouping_id().alias("level"), F.sum("n").alias("n"), F.sum("chars").alias("chars"), F.sum("words").alias("words"),
+        F.sum("families").alias("families"))
+
+    def mean(total: str) -> Column:
+        return F.round(F.col(total) / F.col("n"), 2)
+
+    def cell(metric: str, value: Column | str) -> Column:
+        return F.struct(F.lit(metric).alias("metric"), F.col(value).cast("double").alias("value") if isinstance(value, str) else value.cast("double").alias("value"))
+
+    total, split, label = 3, 1, 0
+    metrics = (
+        F.when(F.col("level") == total, F.array(cell("total_rows", "n"), cell("total_families", "families")))
+        .when(F.col("level") == split, F.array(
+            cell("rows_per_split", "n"), cell(_MEANS[0], mean("chars")), cell(_MEANS[1], mean("words"))))
+        .when(F.col("level") == label, F.array(cell("rows_per_label_per_split", "n"))))
+    found = sets.select("split", "label", F.inline(metrics)).select(
+        "metric", F.coalesce("split", F.lit("")).alias("split"), F.coalesce("label", F.lit("")).alias("label"), "value")
+    domain = [("total_rows", "", ""), ("total_families", "", "")]
+    domain += [(m, s, "") for s in splits for m in ("rows_per_split", *_MEANS)]
+    domain += [("rows_per_label_per_split", s, l) for s in splits for l in labels]
+    counters = [("num_dropped_rows", "", r, float((dropped or {}).get(r, 0))) for r in DROP_REASONS]
+    expected = literal_rows(spark, ["metric", "split", "label"], domain)
+    cells = expected.join(found, ["metric", "split", "label"], "left").withColumn("value", F.coalesce("value", F.lit(0.0)))
+    return cells.unionByName(literal_rows(spark, ["metric", "split", "label", "value"], counters))
+
+
 def _map(entries: Mapping[str, Column]) -> Column:
     return F.create_map(*[x for key, value in entries.items() for x in (F.lit(key), value)])
 

@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from corpuswright.operators import dedup, families, manifest, split, validation
 from corpuswright.schema import (
-    DEFAULT_RATIOS, DEFAULT_SEED, LABELS, MAX_TEXT_CHARS, ROW_FIELDS, SOURCES,
+    DEFAULT_RATIOS, DEFAULT_SEED, DROP_REASONS, LABELS, MAX_TEXT_CHARS, ROW_FIELDS, SOURCES,
 )
 from corpuswright.sources import writers
 from corpuswright.sources.staging import stage
@@ -20,9 +20,22 @@ class Corpus:
     rows: DataFrame
     classified: DataFrame
     wide: DataFrame
+    # Dropped rows by reason, observed while the rows were staged; None before that.
+    dropped: Mapping[str, int] | None = None
 
     def manifest_wide(self, labels: Sequence[str] = LABELS) -> DataFrame:
-        return manifest.manifest_wide(self.rows, self.classified, labels=labels, wide=self.wide)
+        return manifest.manifest_wide(self.rows, self.classified, labels=labels, wide=self.wide, counted=self.dropped)
+
+
+def _observed_stage(wide: DataFrame, max_chars: int | None) -> tuple[DataFrame, dict[str, int]]:
+    """Classify and stage the rows; the drop counters come from the same job."""
+    families_seen, rows_seen = Observation(), Observation()
+    watched = wide.observe(families_seen, F.count_if(F.col("family_id") == "").alias("missing_family_id"))
+    classified = families.classify_rows(watched, max_chars=max_chars)
+    reasons = [r for r in DROP_REASONS if r != "missing_family_id"]
+    counters = [F.count_if(F.col("drop_reason") == r).alias(r) for r in (*reasons, "null_or_blank")]
+    staged = stage(classified.observe(rows_seen, F.count("*").alias("classified"), *counters), "classified")
+    return staged, families_seen.get | rows_seen.get
 
 
 def build_corpus(
@@ -41,8 +54,9 @@ def build_corpus(
     """
     wide = families.families(raw)
     classified = families.classify_rows(wide, max_chars=max_chars)
+    dropped = None
     if staged:
-        classified = stage(classified, "classified")
+        classified, dropped = _observed_stage(wide, max_chars)
         kept = classified.filter(F.col("drop_reason").isNull()).select(*ROW_FIELDS)
     else:
         kept = families.materialize_rows(wide, max_chars=max_chars)
@@ -51,7 +65,7 @@ def build_corpus(
     rows = split.split_by_group(kept, ratios, seed)
     if deduplicate == "within_split":
         rows = dedup.dedup_within_split(rows)
-    return Corpus(rows, classified, wide)
+    return Corpus(rows, classified, wide, dropped)
 
 
 def require_valid(checks: DataFrame) -> None:
@@ -73,14 +87,19 @@ def write_corpus(
 ) -> DataFrame:
     """Build, validate and write a corpus and its manifest below path; returns the rows.
 
-    Leakage and invalid rows stop a strict build before anything is written.
+    The input is read once: drop reasons and broken row rules are counted by the jobs that
+    stage the rows. Leakage and invalid rows stop a strict build before anything is written.
     """
     corpus = build_corpus(raw, ratios, seed, staged=True)
-    rows = stage(corpus.rows, "corpus")
+    rules = validation.row_rules(sources=sources)
+    broken = Observation()
+    rows = stage(corpus.rows.observe(broken, *[F.count_if(~rule).alias(name) for name, rule in rules.items()]), "corpus")
     if strict:
+        if violations := {name: n for name, n in broken.get.items() if n}:
+            raise validation.CorpusInvalid(", ".join(f"{name}={n}" for name, n in violations.items()))
         require_valid(validation.validate_build(rows, sources=sources))
     writers.write_splits(rows, f"{path}/rows", file_format)
-    counts = manifest.manifest_wide(rows, corpus.classified, wide=corpus.wide)
+    counts = manifest.manifest_wide(rows, counted=corpus.dropped)
     digest = manifest.fingerprint(rows).select("families_hash_sha1").scalar()
     writers.write_record(manifest.manifest_record(counts, digest, seed, ratios), f"{path}/manifest")
     return rows

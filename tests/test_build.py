@@ -220,6 +220,43 @@ def test_write_corpus(spark, raw_dir, tmp_path):
     assert "f0" not in {r.family_id for r in back.collect()}
 
 
+def test_write_corpus_reads_its_input_once(spark, raw_dir, tmp_path):
+    raw = readers.read_raw_dir(spark, raw_dir)
+    rows = raw.count()
+    seen = spark.sparkContext.accumulator(0)
+
+    def watch(value):
+        seen.add(1)
+        return value
+
+    watched = raw.withColumn("idx", F.udf(watch, "string").asNondeterministic()("idx"))
+    build.write_corpus(watched, str(tmp_path / "out"), strict=False)
+    assert seen.value == rows
+
+
+def test_observed_rules_stop_a_strict_build(spark, raw_dir, tmp_path):
+    raw = readers.read_raw_dir(spark, raw_dir)
+    with pytest.raises(val.CorpusInvalid, match="source_known"):
+        build.write_corpus(raw, str(tmp_path / "out"), sources=("nowhere",))
+
+
+def test_manifest_cells_equal_the_wide_manifest(spark, sf):
+    from checks import fixtures as fx
+
+    corpus = build.build_corpus(fx.raw_records(spark, sf), staged=True)
+    wide = man.manifest_tidy(corpus.manifest_wide())
+    cells = man.manifest_cells(corpus.rows, corpus.dropped)
+    assert sorted(cells.select(wide.columns).collect()) == sorted(wide.collect())
+    assert corpus.dropped.items() >= {r.drop_reason: r.n for r in fam.drop_counts(corpus.wide, corpus.classified).collect()}.items()
+    empty = {(r.metric, r.split, r.label): r.value for r in man.manifest_cells(corpus.rows.limit(0)).collect()}
+    assert len(empty) == cells.count() and set(empty.values()) == {0.0}
+    leaky = man.manifest_cells(fx.leaky(spark, sf))
+    assert leaky.filter("metric = 'total_families'").first().value == fx.leaky(spark, sf).select("family_id").distinct().count()
+    many = [f"L{i}" for i in range(300)]
+    plans = [len(man.manifest_cells(corpus.rows, labels=l)._jdf.queryExecution().optimizedPlan().toString().splitlines()) for l in (many, many[:2])]
+    assert plans[0] == plans[1]
+
+
 def test_build_modes_agree(spark, sf):
     from checks import fixtures as fx
 
