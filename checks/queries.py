@@ -15,7 +15,7 @@ from corpuswright.functions import text as tx
 from corpuswright.functions.scalar import argmax, megabytes, throughput
 from corpuswright.operators import (
     cross_validation as cv, dedup, distributions as dist, encoding, families as fam, leakage, manifest as man, metrics as met,
-    minhash, models, sampling, similarity, sketches, split, tfidf, validation as val,
+    minhash, models, sampling, similarity, sketches, split, synonyms, tfidf, validation as val,
 )
 from corpuswright.plans import audit, baseline, build
 from corpuswright.schema import LABELS, LENGTH_BUCKETS, ROW_FIELDS, SPLITS
@@ -285,6 +285,31 @@ def perturb_synonym(spark, sf):
     return fx.rows(spark, sf).select("id", tx.swap_synonyms(F.col("text"), fx.LEXICON).alias("text"))
 
 
+# Words and pairs of neighbours of the corpus, chosen by their digests.
+_WORD_HIT, _PAIR_HIT = "substr(md5({0}), 1, 1) = '7'", "substr(md5({0}), 1, 1) IN ('3', '9')"
+
+
+@query(f"""SELECT id, array_to_string(list(CASE WHEN start THEN '{{' || w || '+' || following || '}}'
+    WHEN {_WORD_HIT.format('w')} THEN '<' || w || '>' ELSE w END ORDER BY i) FILTER (WHERE NOT eaten), ' ') AS text FROM (
+  SELECT *, lag(start, 1, FALSE) OVER (PARTITION BY id ORDER BY i) AS eaten FROM (
+    SELECT *, hit AND (i - island) % 2 = 1 AS start FROM (
+      SELECT *, coalesce(max(CASE WHEN NOT hit THEN i END) OVER (PARTITION BY id ORDER BY i), 0) AS island FROM (
+        SELECT id, i, w, following, following IS NOT NULL AND coalesce({_PAIR_HIT.format("w || ' ' || following")}, FALSE) AS hit FROM (
+          SELECT id, i, t[i] AS w, t[i + 1] AS following FROM (
+            SELECT id, string_split(text, ' ') AS t, unnest(range(1, len(string_split(text, ' ')) + 1)) AS i FROM mat))))))
+  GROUP BY id""")
+def perturb_synonym_large(spark, sf):
+    """Synonym swap through a lexicon of words and neighbouring pairs taken from the corpus itself."""
+    rows = fx.rows(spark, sf).select("id", "text")
+    words = F.split("text", " ")
+    pairs = F.transform(F.slice(words, 1, F.size(words) - 1), lambda w, i: F.concat_ws(" ", w, F.get(words, i + 1)))
+    singles = rows.select(F.explode(F.array_distinct(words)).alias("phrase")).distinct().filter(_WORD_HIT.format("phrase")).select(
+        "phrase", F.concat(F.lit("<"), "phrase", F.lit(">")).alias("replacement"))
+    doubles = rows.select(F.explode(F.array_distinct(pairs)).alias("phrase")).distinct().filter(_PAIR_HIT.format("phrase")).select(
+        "phrase", F.concat(F.lit("{"), F.replace(F.col("phrase"), F.lit(" "), F.lit("+")), F.lit("}")).alias("replacement"))
+    return synonyms.swap_phrases(rows, singles.unionByName(doubles))
+
+
 @query("""SELECT split, CASE WHEN text_len_word <= 50 THEN 'short' WHEN text_len_word <= 150 THEN 'medium' ELSE 'long' END AS bucket,
   count(*) AS n FROM spl GROUP BY ALL""")
 def length_buckets(spark, sf):
