@@ -690,6 +690,14 @@ def jaccard_pairs_approximate(spark, sf):
     return rounded(minhash.approximate_jaccard_pairs(fx.split_rows(spark, sf)))
 
 
+@query(f"""SELECT CAST(row_number() OVER (ORDER BY similarity DESC, left_id, right_id) AS INTEGER) AS rank, left_id, right_id,
+  round(similarity, 6) AS similarity, {_PREVIEW.format('l.text', 80)} AS left_preview, {_PREVIEW.format('r.text', 80)} AS right_preview
+  FROM (SELECT * FROM jac ORDER BY similarity DESC, left_id, right_id LIMIT 10) JOIN spl l ON l.id = left_id JOIN spl r ON r.id = right_id""")
+def near_duplicate_previews(spark, sf):
+    rows = stage(fx.split_rows(spark, sf), "rows")
+    return rounded(similarity.pair_previews(similarity.jaccard_pairs(rows), rows))
+
+
 # ---------------------------------------------------------------- features and models
 
 @query("SELECT id, array_to_string(t, ' ') AS tokens FROM tok")
@@ -1081,7 +1089,9 @@ def run_efficiency(spark, sf):
 def eda_report_lines(spark, sf):
     rows = stage(fx.corpus(spark, sf), "corpus")
     path = new_location(spark, "report")
-    report = audit.audit_report(rows, fx.ALL_SOURCES)
+    counted = man.manifest_cells(rows)
+    report = audit.audit_report(
+        rows, fx.ALL_SOURCES, near_duplicates=similarity.jaccard_pairs(rows), reconciled=man.reconcile(counted, counted))
     writers.write_report(report, path)
     return report
 

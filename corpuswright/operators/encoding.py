@@ -42,9 +42,14 @@ def encode_fixed(
     @F.arrow_udf("array<int>")
     def ids_of(tokens):
         import pyarrow as pa
+        import pyarrow.compute as pc
 
-        ids = shared.value
-        return pa.array([[ids.get(t, UNKNOWN) for t in row or ()] for row in tokens.to_pylist()], pa.list_(pa.int32()))
+        terms, numbers = pa.array(shared.value.keys(), pa.string()), pa.array(shared.value.values(), pa.int32())
+        found = pc.index_in(tokens.flatten(), value_set=terms)
+        ids = pc.fill_null(numbers.take(found), UNKNOWN)
+        lengths = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False)
+        offsets = pa.array([0, *lengths.cumsum().tolist()], pa.int32())
+        return pa.ListArray.from_arrays(offsets, ids)
 
     tokens = tx.analyzer_tokens(F.col("text"), accents=True)
     encoded = rows.select(key, ids_of(F.slice(tokens, 1, max_length - 2)).alias("ids"))

@@ -7,8 +7,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from corpuswright.operators import distributions, leakage, manifest
+from corpuswright.operators import distributions, leakage, manifest, similarity
 from corpuswright.schema import LABELS, SOURCES, SPLITS
+from corpuswright.sources.staging import stage
 
 
 def _section(number: int, title: str, header: Sequence[str], body: DataFrame, order: Sequence, cells: Sequence[Column]):
@@ -33,9 +34,13 @@ def _number(column: str, decimals: int = 0) -> Column:
 
 def audit_report(
     rows: DataFrame, sources: Sequence[str] = SOURCES, labels: Sequence[str] = LABELS,
-    splits: Sequence[str] = SPLITS,
+    splits: Sequence[str] = SPLITS, near_duplicates: DataFrame | None = None, reconciled: DataFrame | None = None,
 ) -> DataFrame:
-    """(line_no, line) of the Markdown report. Every table holds measured values."""
+    """(line_no, line) of the Markdown report. Every table holds measured values.
+
+    near_duplicates are pairs of a similarity join, reported by their number and the most
+    similar ones; reconciled are the checks of manifest.reconcile.
+    """
     place = reduce(lambda c, s: c.when(F.col("split") == s[1], s[0]), enumerate(splits), F).otherwise(len(splits))
     families = distributions.families_per_split(rows)
     counts = rows.groupBy("split").agg(F.count("*").alias("rows"))
@@ -65,8 +70,23 @@ def audit_report(
                  ["check", "left_split", "right_split"],
                  [F.col("check"), F.concat_ws("-", "left_split", "right_split"), _number("shared")]),
         _section(6, "Fingerprint", ["sha1", "sum"], digest, ["families_hash_sum"],
-                 [F.coalesce("families_hash_sha1", F.lit("not computed at this size")), F.col("families_hash_sum")]),
+                 [F.coalesce("families_hash_sha1", F.lit("no family")), F.col("families_hash_sum")]),
     ]
+    if near_duplicates is not None:
+        pairs = stage(near_duplicates, "near-duplicates")
+        cell = lambda column: F.translate(column, "|\n", "  ")
+        sections += [
+            _section(7, "Near duplicates between splits", ["Distinct pairs", "Row pairs"], similarity.pair_summary(pairs),
+                     ["distinct_pairs"], [_number("distinct_pairs"), _number("row_pairs")]),
+            _section(8, "Most similar pairs", ["Rank", "Similarity", "Left", "Right"],
+                     similarity.pair_previews(pairs, rows).withColumn("place", F.format_string("%04d", "rank")), ["place"],
+                     [F.col("rank").cast("string"), _number("similarity", 4),
+                      F.concat_ws(": ", "left_id", cell("left_preview")), F.concat_ws(": ", "right_id", cell("right_preview"))]),
+        ]
+    if reconciled is not None:
+        sections.append(_section(
+            9, "Manifest", ["Metric", "Split", "Label", "Actual", "Declared", "Status"], reconciled, ["metric", "split", "label"],
+            [F.col("metric"), F.col("split"), F.col("label"), _number("actual", 2), _number("declared", 2), F.col("status")]))
     return number_lines(reduce(DataFrame.unionByName, sections))
 
 
@@ -84,16 +104,16 @@ def run_report(results: DataFrame, labels: Sequence[str] = LABELS) -> DataFrame:
 
     lines = [
         F.concat(F.lit("Run: "), F.col("model_name"), F.lit(" seed "), F.col("seed").cast("string")),
-        F.concat(F.lit("Accuracy:  "), fixed(F.col("accuracy"))),
-        F.concat(F.lit("Macro-F1:  "), fixed(F.col("macro_f1"))),
+        F.concat(F.lit("share of right predictions "), fixed(F.col("accuracy"))),
+        F.concat(F.lit("F1, mean over labels "), fixed(F.col("macro_f1"))),
         *[F.concat(F.lit(f"F1 {l}: "), fixed(F.try_element_at("per_class_f1", F.lit(l)))) for l in labels],
         *[
             F.concat(F.lit(f"Confusion {l}: "), F.array_join(
                 F.transform(F.get("confusion_matrix", F.lit(i)), lambda n: F.format_string("%5d", n)), " "))
             for i, l in enumerate(labels)
         ],
-        F.concat(F.lit("Training time: "), fixed(F.col("train_time_sec"), "%.2f"), F.lit(" seconds")),
-        F.concat(F.lit("Throughput: "), fixed(F.col("rows_per_sec"), "%.1f"), F.lit(" rows/s")),
+        F.concat(F.lit("fitted in "), fixed(F.col("train_time_sec"), "%.2f"), F.lit(" s")),
+        F.concat(F.lit("predicted "), fixed(F.col("rows_per_sec"), "%.1f"), F.lit(" rows/s")),
     ]
     exploded = results.select(
         F.concat_ws("/", "model_name", F.col("seed").cast("string")).alias("section"),

@@ -105,3 +105,20 @@ def test_report(spark, sf, make_rows, tmp_path):
     assert lines.index("| train | 1 | 1 |") < lines.index("| val | 1 | 1 |") < lines.index("| all | 2 | 2 |")
     writers.write_report(report, str(tmp_path / "r"))
     assert [r.value for r in spark.read.text(str(tmp_path / "r")).collect()] == lines
+
+
+def test_report_of_near_duplicates_and_manifest(make_rows):
+    from corpuswright.operators import manifest, similarity
+
+    shared = " ".join(f"w{i}" for i in range(40))
+    rows = make_rows([("train", "f1", "T1", shared + " a|b"), ("val", "f2", "T1", shared + " c"), ("test", "f3", "T1", "x")])
+    cells = manifest.manifest_cells(rows)
+    report = audit.audit_report(
+        rows, near_duplicates=similarity.jaccard_pairs(rows), reconciled=manifest.reconcile(cells, cells))
+    lines = [r.line for r in report.orderBy("line_no").collect()]
+    at = lines.index("## Near duplicates between splits")
+    assert lines[at + 4] == "| 1 | 1 |" and lines[at + 5] == "## Most similar pairs"
+    assert lines[at + 9].startswith("| 1 | 0.9524 | f1__T1: w0 w1") and lines[at + 9].count(" | ") == 3
+    assert "## Manifest" in lines and sum(line.endswith("| ok |") for line in lines) >= 20
+    previews = similarity.pair_previews(similarity.jaccard_pairs(rows), rows).collect()
+    assert [(p.rank, p.left_id, p.right_preview[-3:]) for p in previews] == [(1, "f1__T1", "...")]
