@@ -133,8 +133,8 @@ def manifest(spark, sf):
 @query("""SELECT d AS drop_reason, (SELECT count(*) FROM cls WHERE drop_reason = d) AS n
   FROM unnest(['missing_family_id', 'empty_text', 'too_long', 'null_or_blank']) u(d)
   UNION ALL SELECT 'classified', count(*) FROM cls""")
-def observed_drops(spark, sf):
-    """Drop counters observed by the job that stages the rows."""
+def staged_drops(spark, sf):
+    """Drop counters of a build that reads its input once."""
     corpus = build.build_corpus(fx.raw_records(spark, sf), staged=True)
     return spark.createDataFrame(sorted(corpus.dropped.items()), "drop_reason string, n long")
 

@@ -37,17 +37,24 @@ def classify_rows(
     labels: Sequence[str] = LABELS,
     max_chars: int | None = MAX_TEXT_CHARS,
     keep_blank: bool = True,
+    keep_missing: bool = False,
 ) -> DataFrame:
     """Normalised rows with a drop_reason, null for rows that stay.
 
     Null and blank texts carry the reason null_or_blank, or are filtered before the
-    normalisation when keep_blank is off.
+    normalisation when keep_blank is off. Families without an id have no rows, or with
+    keep_missing one row each, under the first label, with the reason missing_family_id.
     """
-    long = unpivot_families(wide.filter(F.col("family_id") != ""), labels)
+    if keep_missing:
+        long = unpivot_families(wide, labels).filter((F.col("family_id") != "") | (F.col("label") == labels[0]))
+    else:
+        long = unpivot_families(wide.filter(F.col("family_id") != ""), labels)
     if not keep_blank:
         long = long.filter(~tx.is_blank(F.col("raw_text")))
     length = F.char_length("text")
-    reason = F.when(tx.is_blank(F.col("raw_text")), "null_or_blank") if keep_blank else F
+    reason = F.when(F.col("family_id") == "", "missing_family_id") if keep_missing else F
+    if keep_blank:
+        reason = reason.when(tx.is_blank(F.col("raw_text")), "null_or_blank")
     reason = reason.when(F.col("text") == "", "empty_text")
     if max_chars is not None:
         reason = reason.when(length > max_chars, "too_long")

@@ -126,7 +126,7 @@ def manifest_cells(
 
     One aggregation per (split, label) with families told apart by the same pass; totals
     and splits are grouping sets over its few rows. The plan does not grow with the
-    domains. dropped holds the drop counters, observed while the rows were made.
+    domains. dropped holds the drop counters of the build.
     """
     spark = rows.sparkSession
     # One row per family in a cell first, so that distinct families need no second pass.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from corpuswright.operators import dedup, families, manifest, split, validation
 from corpuswright.schema import (
@@ -20,22 +20,24 @@ class Corpus:
     rows: DataFrame
     classified: DataFrame
     wide: DataFrame
-    # Dropped rows by reason, observed while the rows were staged; None before that.
+    # Dropped rows by reason, where the rows were staged.
     dropped: Mapping[str, int] | None = None
 
     def manifest_wide(self, labels: Sequence[str] = LABELS) -> DataFrame:
         return manifest.manifest_wide(self.rows, self.classified, labels=labels, wide=self.wide, counted=self.dropped)
 
 
-def _observed_stage(wide: DataFrame, max_chars: int | None) -> tuple[DataFrame, dict[str, int]]:
-    """Classify and stage the rows; the drop counters come from the same job."""
-    families_seen, rows_seen = Observation(), Observation()
-    watched = wide.observe(families_seen, F.count_if(F.col("family_id") == "").alias("missing_family_id"))
-    classified = families.classify_rows(watched, max_chars=max_chars)
-    reasons = [r for r in DROP_REASONS if r != "missing_family_id"]
-    counters = [F.count_if(F.col("drop_reason") == r).alias(r) for r in (*reasons, "null_or_blank")]
-    staged = stage(classified.observe(rows_seen, F.count("*").alias("classified"), *counters), "classified")
-    return staged, families_seen.get | rows_seen.get
+def _counted_stage(wide: DataFrame, max_chars: int | None) -> tuple[DataFrame, dict[str, int]]:
+    """Classify and stage the rows; the drop counters are read from one column of what was written.
+
+    Families without an id leave a row with their reason in the staged table, so the input
+    is not read again for them.
+    """
+    staged = stage(families.classify_rows(wide, max_chars=max_chars, keep_missing=True), "classified")
+    found = {r["drop_reason"]: r["count"] for r in staged.groupBy("drop_reason").count().collect()}
+    dropped = {r: found.get(r, 0) for r in (*DROP_REASONS, "null_or_blank")}
+    dropped["classified"] = sum(found.values()) - dropped["missing_family_id"]
+    return staged.filter("drop_reason IS DISTINCT FROM 'missing_family_id'"), dropped
 
 
 def build_corpus(
@@ -56,7 +58,7 @@ def build_corpus(
     classified = families.classify_rows(wide, max_chars=max_chars)
     dropped = None
     if staged:
-        classified, dropped = _observed_stage(wide, max_chars)
+        classified, dropped = _counted_stage(wide, max_chars)
         kept = classified.filter(F.col("drop_reason").isNull()).select(*ROW_FIELDS)
     else:
         kept = families.materialize_rows(wide, max_chars=max_chars)
@@ -87,16 +89,11 @@ def write_corpus(
 ) -> DataFrame:
     """Build, validate and write a corpus and its manifest below path; returns the rows.
 
-    The input is read once: drop reasons and broken row rules are counted by the jobs that
-    stage the rows. Leakage and invalid rows stop a strict build before anything is written.
+    The input is read once: drop reasons and row rules are counted on the staged rows. Leakage and invalid rows stop a strict build before anything is written.
     """
     corpus = build_corpus(raw, ratios, seed, staged=True)
-    rules = validation.row_rules(sources=sources)
-    broken = Observation()
-    rows = stage(corpus.rows.observe(broken, *[F.count_if(~rule).alias(name) for name, rule in rules.items()]), "corpus")
+    rows = stage(corpus.rows, "corpus")
     if strict:
-        if violations := {name: n for name, n in broken.get.items() if n}:
-            raise validation.CorpusInvalid(", ".join(f"{name}={n}" for name, n in violations.items()))
         require_valid(validation.validate_build(rows, sources=sources))
     writers.write_splits(rows, f"{path}/rows", file_format)
     counts = manifest.manifest_wide(rows, counted=corpus.dropped)

@@ -234,7 +234,16 @@ def test_write_corpus_reads_its_input_once(spark, raw_dir, tmp_path):
     assert seen.value == rows
 
 
-def test_observed_rules_stop_a_strict_build(spark, raw_dir, tmp_path):
+def test_families_without_an_id_are_counted_once(spark):
+    kind = "family_id string, source string, T1 string, T2 string, T3 string, T4 string"
+    wide = spark.createDataFrame([("", "s", "a", "b", None, ""), ("", "s", None, None, None, None), ("f", "s", "a", " ", None, "d")], kind)
+    staged, dropped = build._counted_stage(wide, 4000)
+    assert dropped == {"missing_family_id": 2, "empty_text": 0, "too_long": 0, "null_or_blank": 2, "classified": 4}
+    assert sorted(r.id for r in staged.filter("drop_reason IS NULL").collect()) == ["f__T1", "f__T4"]
+    assert sorted(staged.collect()) == sorted(fam.classify_rows(wide).collect())
+
+
+def test_broken_rules_stop_a_strict_build(spark, raw_dir, tmp_path):
     raw = readers.read_raw_dir(spark, raw_dir)
     with pytest.raises(val.CorpusInvalid, match="source_known"):
         build.write_corpus(raw, str(tmp_path / "out"), sources=("nowhere",))
