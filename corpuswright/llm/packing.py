@@ -1,14 +1,4 @@
-"""Best-fit packing of token sequences in bulk-synchronous steps.
-
-Documents of equal length are interchangeable, so a step handles all of one length at
-once, longest first. All of them ask for the same successor, the smallest gap that is
-long enough; the conflict is resolved by rank: the first documents get the gaps of that
-size, the next ones those of the next size, and so on along the sorted gaps. What is
-left opens new sequences. Then the gaps are updated and the next length follows. Lengths
-and gaps are at most the capacity, so the steps sweep a histogram that is bounded by it,
-whatever the corpus; they yield runs (length, ranks, sequences, offset). Ranks are
-given to the documents and looked up in the runs in parallel.
-"""
+"""Packing of token sequences: documents are cut into pieces, best_fit gives them places."""
 
 from __future__ import annotations
 
@@ -19,7 +9,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from corpuswright.llm.ranks import number_within
+from corpuswright.llm.best_fit import SWEEP_ROWS, best_fit
 from corpuswright.sources.staging import stage
 
 CAPACITY = 4096
@@ -277,7 +267,10 @@ class Run:
 
 
 def plan_runs(histogram: dict[int, int], capacity: int = CAPACITY) -> list[Run]:
-    """Best fit, longest first, over the number of pieces of each length."""
+    """Best fit, longest first, one piece after another, over the number of pieces of each length.
+
+    The yardstick for best_fit's rounds: how few sequences a given histogram of lengths needs.
+    """
     runs: list[Run] = []
     gaps: dict[int, list[tuple[int, int]]] = {}  # gap -> runs (first sequence, count)
     sizes: list[int] = []  # the gaps in order
@@ -314,44 +307,16 @@ def plan_runs(histogram: dict[int, int], capacity: int = CAPACITY) -> list[Run]:
     return runs
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = CAPACITY, sweep_rows: int = SWEEP_ROWS) -> DataFrame:
     """Add sequence_id and offset to pieces with a column length between 1 and the capacity.
 
     The pieces of a sequence follow each other from offset 0 without a gap. Equal rows
     are packed like others; an empty table gives an empty one.
     """
-    import numpy as np
-
-    written = stage(pieces, "pieces")
-    counts = dict(written.groupBy("length").count().collect())
-    by_length: dict[int, list[Run]] = {}
-    for run in plan_runs(counts, capacity):
-        by_length.setdefault(run.length, []).append(run)
-    arrays = {
-        length: np.array([(r.first_rank, r.first_sequence - r.first_rank, r.offset) for r in runs], np.int64)
-        for length, runs in by_length.items()
-    }
-    shared = written.sparkSession.sparkContext.broadcast(arrays)
-
-    @F.arrow_udf("sequence_id long, offset long")
-    def place(lengths, ranks):
-        import pyarrow as pa
-
-        lengths, ranks = lengths.to_numpy(zero_copy_only=False), ranks.to_numpy(zero_copy_only=False)
-        sequence, offset = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
-        order = np.argsort(lengths, kind="stable")
-        values, begins = np.unique(lengths[order], return_index=True)
-        for value, rows in zip(values, np.split(order, begins[1:])):
-            table = shared.value[int(value)]
-            run = np.searchsorted(table[:, 0], ranks[rows], side="right") - 1
-            sequence[rows], offset[rows] = ranks[rows] + table[run, 1], table[run, 2]
-        return pa.StructArray.from_arrays([pa.array(sequence), pa.array(offset)], ["sequence_id", "offset"])
-
-    ranked = number_within(written, ["length"], "__rank")
-    placed = ranked.withColumn("__place", place("length", "__rank"))
-    return placed.select(
-        *pieces.columns, F.col("__place").getField("sequence_id").alias("sequence_id"),
-        F.col("__place").getField("offset").alias("offset"))
+    rows = stage(pieces.withColumn("__item", F.monotonically_increasing_id()), "pieces")
+    placed = best_fit(rows.select(F.col("__item").alias("item"), "length"), capacity, sweep_rows)
+    return rows.join(placed.select(F.col("item").alias("__item"), "sequence", "offset"), "__item").select(
+        *pieces.columns, F.col("sequence").alias("sequence_id"), "offset")
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID,
