@@ -12,13 +12,17 @@ so on, the longest first. A round of a band has two steps:
 2. Gaps as wide as the longest item of the band hold several. Each offers as many places
    as it holds for certain; smallest gaps first, the k-th item takes the k-th place.
 
-Then the gaps are updated, and rounds repeat while any item finds a gap. Where none does,
-new sequences are opened, as many as the tokens that are left would fill.
+Then the gaps are updated, and rounds repeat while wide gaps are left. After that no gap
+is as long as any item left: what step 1 leaves over is longer than the gaps it leaves. So
+the items left open new sequences. They are dealt over tasks, whatever their lengths, and
+each task fits its share into sequences of its own, one by one. The items of each task's
+last sequence go through another round together, with fewer tasks, until one task is left.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from bisect import bisect_left, insort
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
@@ -26,7 +30,7 @@ from pyspark.sql.window import Window
 from corpuswright.sources.staging import new_location, remove, stage
 
 # Rows that one task sorts and sweeps.
-SWEEP_ROWS = 500_000
+SWEEP_ROWS = 200_000
 _SWEPT = "part int, ordinal long, item long, length int, sequence long, gap int"
 _PLACED = "item long, length int, sequence long, offset long"
 
@@ -151,6 +155,46 @@ def _take_places(items: DataFrame, n: int, gaps: DataFrame, n_gaps: int, longest
     return matches, ranked, [one, two]
 
 
+def _opened(capacity: int, first: int) -> Callable:
+    """Fit (item, length) rows, longest first, into new sequences of the task, numbered from first on."""
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        sequence, waiting, sizes = first + (TaskContext.get().partitionId() << 28), {}, []
+        for batch in batches:
+            places, offsets = [], []
+            for length in batch.column(1).to_pylist():
+                at = bisect_left(sizes, length)
+                if at < len(sizes):
+                    gap = sizes[at]
+                    place = waiting[gap].pop()
+                    if not waiting[gap]:
+                        del waiting[gap], sizes[at]
+                else:
+                    gap, place, sequence = capacity, sequence, sequence + 1
+                places.append(place)
+                offsets.append(capacity - gap)
+                if gap > length:
+                    if gap - length not in waiting:
+                        waiting[gap - length] = []
+                        insort(sizes, gap - length)
+                    waiting[gap - length].append(place)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(places, pa.int64()), pa.array(offsets, pa.int64())],
+                ["item", "length", "sequence", "offset"])
+
+    return run
+
+
+def _with_offsets(matches: DataFrame, capacity: int) -> DataFrame:
+    """Items of a sequence behind each other by rank; it takes at most as many at once as it has tokens."""
+    along = Window.partitionBy("sequence").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
+    offset = capacity - F.col("gap") + F.coalesce(F.sum("length").over(along), F.lit(0))
+    return matches.select("item", "length", "sequence", offset.cast("long").alias("offset"))
+
+
 def best_fit(items: DataFrame, capacity: int, sweep_rows: int = SWEEP_ROWS) -> DataFrame:
     """(item, length, sequence, offset): each item's place in a sequence of the capacity.
 
@@ -171,58 +215,62 @@ def best_fit(items: DataFrame, capacity: int, sweep_rows: int = SWEEP_ROWS) -> D
     sizes = {r["band"]: r["n"] for r in items.groupBy(band.alias("band")).agg(F.count("*").alias("n")).collect()}
     if None in sizes:
         raise ValueError(f"{sizes[None]} lengths that are not between 1 and {capacity}")
-    root, rounds, sequences = new_location(spark, "packed"), 0, 0
+    root, rounds = new_location(spark, "packed"), 0
     gaps, former = spark.createDataFrame([], "sequence long, gap int"), None
     for level in sorted(sizes):
         longest, low, left = bounds[level], bounds[level + 1], sizes[level]
-        rest = items.filter((F.col("length") > low) & (F.col("length") <= longest))
-        held: list[DataFrame] = []
+        rest, held = items.filter((F.col("length") > low) & (F.col("length") <= longest)), []
         while left:
             near, wide, places = gaps.agg(
                 F.count_if((F.col("gap") > low) & (F.col("gap") < longest)), F.count_if(F.col("gap") >= longest),
-                F.coalesce(F.sum(F.floor(F.col("gap") / longest)), F.lit(0))).first()
-            before, old, used, found = left, held, [], []
+                F.coalesce(F.sum(F.floor(F.col("gap") / longest)), F.lit(0))).first() if rounds else (0, 0, 0)
+            found, used = [], []
             if near:
                 within = gaps.filter((F.col("gap") > low) & (F.col("gap") < longest))
                 matches, rest, met, table = _take_successors(rest, within, left + near, sweep_rows)
-                found.append(matches.withColumn("rank", F.lit(0).cast("long")))
+                # One item a gap.
+                found.append(matches.select("item", "length", "sequence", (capacity - F.col("gap")).cast("long").alias("offset")))
                 used.append(table)
                 left -= met
-            if left and left == before and not places:
-                tokens = rest.agg(F.sum("length")).first()[0]
-                new = left if level == 0 else -(-tokens // capacity)
-                opened = spark.range(sequences, sequences + new).select(
-                    F.col("id").alias("sequence"), F.lit(capacity).alias("gap"))
-                gaps, sequences = gaps.unionByName(opened), sequences + new
-                wide, places = wide + new, new * (capacity // longest)
-            taken = min(left, places)
-            if taken:
+            if left and places:
                 matches, ranked, tables = _take_places(
                     rest, left, gaps.filter(F.col("gap") >= longest), wide, longest, sweep_rows)
-                found.append(matches)
+                found.append(_with_offsets(matches, capacity))
+                taken = min(left, places)
                 rest = ranked.filter(F.col("first") >= taken).select("item", "length")
                 used += tables
                 left -= taken
+            elif left:
+                # A share is worth several sequences at least.
+                tasks = _ranges(left, max(sweep_rows, 4 * capacity // (low + 1)))
+                dealt = rest.select("item", "length").repartition(tasks, "item")
+                opened = dealt.sortWithinPartitions(F.col("length").desc(), "item").mapInArrow(
+                    _opened(capacity, rounds << 48), _PLACED)
+                left = 0
+                if tasks > 1:
+                    # What lies in the last sequence of each task, hardly filled yet, goes on together.
+                    opened = stage(opened, "opened")
+                    task = F.shiftright("sequence", 28).alias("task")
+                    last = F.broadcast(opened.groupBy(task).agg(F.max("sequence").alias("sequence")).select("sequence"))
+                    used.append(opened)
+                    rest = opened.join(last, "sequence", "left_semi").select("item", "length")
+                    left = rest.count()
+                    opened = opened.join(last, "sequence", "left_anti").select("item", "length", "sequence", "offset")
+                found.append(opened)
             matches = found[0] if len(found) == 1 else found[0].unionByName(found[1])
-            # A sequence takes at most as many items at once as it has tokens.
-            along = Window.partitionBy("sequence").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
-            offset = capacity - F.col("gap") + F.coalesce(F.sum("length").over(along), F.lit(0))
-            matches.select("item", "length", "sequence", offset.cast("long").alias("offset")).write.parquet(
-                f"{root}/round={rounds}")
+            matches.write.parquet(f"{root}/round={rounds}")
             placed = spark.read.schema(_PLACED).parquet(f"{root}/round={rounds}")
             filled = placed.groupBy("sequence").agg(F.sum("length").alias("filled"))
             updated = stage(
-                gaps.join(filled, "sequence", "left")
-                .select("sequence", (F.col("gap") - F.coalesce("filled", F.lit(0))).cast("int").alias("gap"))
+                gaps.join(filled, "sequence", "full").select(
+                    "sequence",
+                    (F.coalesce("gap", F.lit(capacity)) - F.coalesce("filled", F.lit(0))).cast("int").alias("gap"))
                 .filter("gap > 0"), "gaps")
             rounds += 1
             # Items left are read from this round's tables, written gaps from none.
-            held = used
-            for table in old:
+            for table in [*held, former] if former is not None else held:
                 remove(table)
-            if former is not None:
-                remove(former)
-            gaps = former = updated
+            gaps, former, held = updated, updated, used
         for table in held:
             remove(table)
     if not rounds:
