@@ -27,12 +27,10 @@ def complement_statistics(rows: DataFrame, folds: int, config: tfidf.TfidfConfig
     rows: text and fold, a number below folds. n counts the rows outside the fold. Terms
     that occur in one fold alone have no row for it.
     """
-    once = rows.select("fold", tx.evaluate_once(tfidf.terms(F.col("text"), config)).alias("terms"))
-    counted = F.transform(F.array_distinct("terms"), lambda t: F.struct(t.alias("term"), F.lit(0).alias("tf"), F.lit(1).alias("df")))
-    each = F.transform("terms", lambda t: F.struct(t.alias("term"), F.lit(1).alias("tf"), F.lit(0).alias("df")))
+    once = rows.select("fold", tx.evaluate_once(tfidf.counted_terms(tfidf.terms(F.col("text"), config))).alias("counts"))
     # The null term counts rows.
-    row = F.array(F.struct(F.lit(None).cast("string").alias("term"), F.lit(0).alias("tf"), F.lit(1).alias("df")))
-    parts = once.select("fold", F.inline(F.coalesce(F.concat(row, each, counted), row)))
+    row = F.array(F.struct(F.lit(None).cast("string").alias("term"), F.lit(0).cast("long").alias("tf")))
+    parts = once.select("fold", F.inline(F.coalesce(F.concat(row, F.col("counts")), row))).withColumn("df", F.lit(1))
 
     def outside(column: str, fold: int):
         return F.sum(F.when(F.col("fold") == fold, 0).otherwise(F.col(column)))
