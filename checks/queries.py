@@ -300,12 +300,14 @@ _WORD_HIT, _PAIR_HIT = "substr(md5({0}), 1, 1) = '7'", "substr(md5({0}), 1, 1) I
   GROUP BY id""")
 def perturb_synonym_large(spark, sf):
     """Synonym swap through a lexicon of words and neighbouring pairs taken from the corpus itself."""
-    rows = fx.rows(spark, sf).select("id", "text")
-    words = F.split("text", " ")
+    rows = stage(fx.rows(spark, sf).select("id", "text"), "rows")
+    # Split once per text: within the lambda an expression would be split again for every word.
+    split_rows = rows.select(tx.evaluate_once(F.split("text", " ")).alias("words"))
+    words = F.col("words")
     pairs = F.transform(F.slice(words, 1, F.size(words) - 1), lambda w, i: F.concat_ws(" ", w, F.get(words, i + 1)))
-    singles = rows.select(F.explode(F.array_distinct(words)).alias("phrase")).distinct().filter(_WORD_HIT.format("phrase")).select(
+    singles = split_rows.select(F.explode(F.array_distinct(words)).alias("phrase")).distinct().filter(_WORD_HIT.format("phrase")).select(
         "phrase", F.concat(F.lit("<"), "phrase", F.lit(">")).alias("replacement"))
-    doubles = rows.select(F.explode(F.array_distinct(pairs)).alias("phrase")).distinct().filter(_PAIR_HIT.format("phrase")).select(
+    doubles = split_rows.select(F.explode(F.array_distinct(pairs)).alias("phrase")).distinct().filter(_PAIR_HIT.format("phrase")).select(
         "phrase", F.concat(F.lit("{"), F.replace(F.col("phrase"), F.lit(" "), F.lit("+")), F.lit("}")).alias("replacement"))
     return synonyms.swap_phrases(rows, singles.unionByName(doubles))
 

@@ -9,6 +9,8 @@ left to right.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from corpuswright.sources.staging import stage
@@ -26,11 +28,20 @@ def phrase_table(lexicon: DataFrame, phrase: str = "phrase", replacement: str =
     return stage(single.withColumn("length", F.size(F.split("phrase", " "))), "phrases")
 
 
-def _sequences(words: Column, length: int) -> Column:
-    """All sequences of this many words, as text."""
-    places = F.sequence(F.lit(1), F.size(words) - length + 1)
-    joined = F.transform(places, lambda i: F.array_join(F.slice(words, i, length), " "))
-    return F.when(F.size(words) >= length, joined).otherwise(F.array().cast("array<string>"))
+def _sequences(texts: Column, lengths: Sequence[int]) -> Column:
+    """The distinct sequences of so many words of every text."""
+
+    @F.arrow_udf("array<string>")
+    def offer(texts):
+        import pyarrow as pa
+
+        def of(text: str) -> list[str]:
+            words = text.split(" ")
+            return list({s for n in lengths for s in (words if n == 1 else map(" ".join, zip(*(words[i:] for i in range(n)))))})
+
+        return pa.array([None if t is None else of(t) for t in texts.to_pylist()], pa.list_(pa.string()))
+
+    return offer(texts)
 
 
 def _replaced(texts: Column, own: Column) -> Column:
@@ -77,9 +88,7 @@ def swap_phrases(rows: DataFrame, lexicon: DataFrame, text: str = "text") -> Dat
         return rows
     # Staged with its row numbers, which have to be the same on both ways.
     placed = stage(rows.withColumn("__row", F.monotonically_increasing_id()), "texts")
-    words = F.split(text, " ")
-    offered = F.array_distinct(F.concat(*[_sequences(words, n) for n in lengths]))
-    own = placed.select("__row", F.explode(offered).alias("phrase")).join(phrases.drop("length"), "phrase").groupBy("__row").agg(
+    own = placed.select("__row", F.explode(_sequences(F.col(text), lengths)).alias("phrase")).join(phrases.drop("length"), "phrase").groupBy("__row").agg(
         F.collect_list(F.struct("phrase", "replacement")).alias("__own"))
     joined = placed.join(own, "__row", "left")
     return joined.withColumn(text, _replaced(F.col(text), F.col("__own"))).select(*rows.columns)
