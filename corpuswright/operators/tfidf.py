@@ -1,8 +1,9 @@
 """TF-IDF with document-frequency limits and a capped vocabulary.
 
-Term statistics need one shuffle keyed by the term, combined inside the map tasks. They
-are staged, as is the vocabulary, which later passes read. Occurrences outside a small
-vocabulary are dropped by a broadcast join before anything is grouped by document.
+Term statistics need one shuffle keyed by the term. Tokens are put together and counted as
+numbers inside the map tasks (grams.py), so a term leaves its task once for many texts.
+Statistics are staged, as is the vocabulary, which later passes read. Where a vocabulary is
+small, rows are weighed by themselves, without a shuffle; otherwise terms meet it in a join.
 """
 
 from __future__ import annotations
@@ -11,14 +12,18 @@ from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from corpuswright.functions import text as tx
+from corpuswright.operators import grams
 from corpuswright.operators.selection import first_per_group, number_digits, text_digits
 from corpuswright.sources.staging import remove, stage
 
 # A vocabulary is broadcast up to this many rows, a few tens of megabytes.
 _BROADCAST_TERMS = 200_000
+# Bytes of the terms that a task looks up by itself, and rows of a batch that it sends.
+_LOOKUP_BYTES, _BATCH_ROWS = 64 << 20, 65_536
 
 
 @dataclass(frozen=True)
@@ -32,9 +37,12 @@ class TfidfConfig:
     stop_words: tuple[str, ...] = ()
 
 
+def tokens(text: Column, config: TfidfConfig) -> Column:
+    return tx.remove_words(tx.analyzer_tokens(text, accents=not config.strip_accents), config.stop_words)
+
+
 def terms(text: Column, config: TfidfConfig) -> Column:
-    tokens = tx.analyzer_tokens(text, accents=not config.strip_accents)
-    return tx.ngrams(tx.remove_words(tokens, config.stop_words), *config.ngram_range)
+    return tx.ngrams(tokens(text, config), *config.ngram_range)
 
 
 def with_terms(rows: DataFrame, config: TfidfConfig = TfidfConfig()) -> DataFrame:
@@ -85,16 +93,48 @@ def term_statistics(
 
 def _statistics(rows: DataFrame, config: TfidfConfig, copies: str | None) -> DataFrame:
     """Term statistics; the null term counts the rows, so that one pass gives both."""
-    times = F.lit(1) if copies is None else F.col(copies)
-    once = rows.select(
-        times.cast("long").alias("times"), tx.evaluate_once(counted_terms(_terms_of(rows, config))).alias("counts")
-    )
-    row = F.array(F.struct(F.lit(None).cast("string").alias("term"), F.lit(0).cast("long").alias("tf")))
-    return (
-        once.select("times", F.inline(F.coalesce(F.concat(row, F.col("counts")), row)))
-        .groupBy("term")
-        .agg(F.sum(F.col("tf") * F.col("times")).alias("tf"), F.sum("times").alias("df"))
-    )
+    counted = grouped_statistics(rows, config, copies=copies)
+    return counted.groupBy("term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
+
+
+def grouped_statistics(
+    rows: DataFrame, config: TfidfConfig, group: str | None = None, copies: str | None = None
+) -> DataFrame:
+    """(term, group, tf, df) of some rows each, to be summed up; the null term counts the rows.
+
+    group names a column of numbers; a null one becomes -1.
+    """
+    known = "terms" in rows.columns
+    low, high = (1, 1) if known else config.ngram_range
+    units = F.col("terms") if known else tokens(F.col("text"), config)
+    of_row = [F.lit(0) if group is None else F.coalesce(F.col(group), F.lit(-1)), F.lit(1) if copies is None else F.col(copies)]
+    given = rows.select(units.alias("units"), of_row[0].cast("long").alias("group"),
+                        F.coalesce(of_row[1].cast("long"), F.lit(0)).alias("times"))
+    once = copies is None
+
+    def count(batches):
+        import pyarrow as pa
+
+        def sent(names, own, tf, df):
+            made = pa.RecordBatch.from_arrays(
+                [names, pa.array(own, pa.int64()), pa.array(tf, pa.int64()), pa.array(df, pa.int64())], ["term", "group", "tf", "df"])
+            return [made.slice(at, _BATCH_ROWS) for at in range(0, made.num_rows, _BATCH_ROWS)]
+
+        for batch in batches:
+            lists, own, times = batch.column(0), *(batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2))
+            groups, at = np.unique(own, return_inverse=True)
+            yield from sent(pa.nulls(len(groups), pa.string()), groups, np.zeros(len(groups)), _whole(np.bincount(at, times)))
+            for low_row, high_row in grams.slices(lists):
+                part = slice(low_row, high_row)
+                for found in grams.gram_counts(
+                        lists.slice(low_row, high_row - low_row), low, high, own[part], None if once else times[part]):
+                    yield from sent(*found)
+
+    return given.mapInArrow(count, "term string, group long, tf long, df long")
+
+
+def _whole(numbers: np.ndarray) -> np.ndarray:
+    return np.rint(numbers).astype(np.int64)
 
 
 def vocabulary(
@@ -106,7 +146,9 @@ def vocabulary(
     of them by occurrences, ties by term. The rows are read once; the cut is found on
     counts of the frequencies, so no task sees all terms.
     """
-    stats = stage(_statistics(rows, config, copies), "terms")
+    # Terms of too few rows, most of them all, are not written.
+    counted = _statistics(rows, config, copies).filter(F.col("term").isNull() | (F.col("df") >= config.min_df))
+    stats = stage(counted, "terms")
     known = stage(_kept_terms(stats, config), "vocabulary")
     remove(stats)
     return known
@@ -163,5 +205,42 @@ def term_weights(
     """(id, term, df, weight): L2-normalised weights of the known terms of every row.
 
     Rows without a known term have no weights; rows that repeat an id are weighed apart.
+    A small vocabulary is sent to the tasks, which weigh every row by itself.
     """
-    return weight_arrays(rows, known, config, (key,)).select(key, F.inline("entries")).select(key, "term", "df", "weight")
+    held = None if "terms" in rows.columns else _held(known)
+    if held is None:
+        weighed = weight_arrays(rows, known, config, (key,)).select(key, F.inline("entries"))
+    else:
+        weighed = rows.select(key, F.inline(_weighing(rows, held, config)(tokens(F.col("text"), config))))
+    return weighed.select(key, "term", "df", "weight")
+
+
+def _held(known: DataFrame):
+    """The vocabulary (df, term, idf) in that order as an Arrow table, None if it is large."""
+    size = known.limit(_BROADCAST_TERMS + 1).agg(F.count("*").alias("n"), F.sum(F.octet_length("term")).alias("bytes")).first()
+    if size["n"] > _BROADCAST_TERMS or (size["bytes"] or 0) > _LOOKUP_BYTES:
+        return None
+    return known.select("df", "term", "idf").toArrow().combine_chunks().sort_by([("df", "ascending"), ("term", "ascending")])
+
+
+def _weighing(rows: DataFrame, held, config: TfidfConfig):
+    words = held.column("term").to_pylist()
+    shared = rows.sparkSession.sparkContext.broadcast((
+        grams.Vocabulary(words), words, held.column("df").to_numpy(), held.column("idf").to_numpy()))
+
+    @F.arrow_udf("array<struct<df:bigint,term:string,weight:double>>")
+    def weigh(lists):
+        import pyarrow as pa
+
+        vocabulary, words, dfs, idf = shared.value
+        names, made = pa.array(words, pa.string()), []
+        for low, high in grams.slices(lists) if len(lists) else [(0, 0)]:
+            part = lists.slice(low, high - low)
+            at, terms, times = vocabulary.counts(part, *config.ngram_range)
+            weights = grams.unit_weights(at, times, idf[terms], len(part), config.sublinear_tf)
+            entries = pa.StructArray.from_arrays(
+                [pa.array(dfs[terms], pa.int64()), names.take(pa.array(terms)), pa.array(weights)], ["df", "term", "weight"])
+            made.append(pa.ListArray.from_arrays(pa.array(np.searchsorted(at, np.arange(len(part) + 1)), pa.int32()), entries))
+        return pa.concat_arrays(made)
+
+    return weigh
