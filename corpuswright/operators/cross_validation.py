@@ -13,7 +13,6 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, functions as F
 
-from corpuswright.functions import text as tx
 from corpuswright.operators import models, tfidf
 from corpuswright.operators.selection import first_per_group, number_digits, text_digits
 from corpuswright.operators.split import assign_folds
@@ -21,33 +20,34 @@ from corpuswright.schema import DEFAULT_SEED
 from corpuswright.sources.staging import remove, stage
 
 
-def complement_statistics(rows: DataFrame, folds: int, config: tfidf.TfidfConfig = tfidf.TfidfConfig()) -> DataFrame:
+def complement_statistics(
+    rows: DataFrame, folds: int, config: tfidf.TfidfConfig = tfidf.TfidfConfig(), least: int = 1,
+) -> DataFrame:
     """(fold, term, tf, df, n): term statistics of the rows outside each fold.
 
     rows: text and fold, a number below folds. n counts the rows outside the fold. Terms
-    that occur in one fold alone have no row for it.
+    that occur in one fold alone have no row for it, and terms with a df below least none at all.
     """
-    once = rows.select("fold", tx.evaluate_once(tfidf.counted_terms(tfidf.terms(F.col("text"), config))).alias("counts"))
-    # The null term counts rows.
-    row = F.array(F.struct(F.lit(None).cast("string").alias("term"), F.lit(0).cast("long").alias("tf")))
-    parts = once.select("fold", F.inline(F.coalesce(F.concat(row, F.col("counts")), row))).withColumn("df", F.lit(1))
+    parts = tfidf.grouped_statistics(rows.select("fold", "text"), config, "fold").withColumnRenamed("group", "fold")
 
     def outside(column: str, fold: int):
         return F.sum(F.when(F.col("fold") == fold, 0).otherwise(F.col(column)))
 
     wide = parts.groupBy("term").agg(*[outside(c, f).alias(f"{c}{f}") for f in range(folds) for c in ("tf", "df")])
-    staged = stage(wide, "folds")
+    # Terms that are rare outside every fold, most of them all, are not written.
+    common = F.greatest(*[F.col(f"df{f}") for f in range(folds)]) if folds > 1 else F.col("df0")
+    staged = stage(wide.filter(F.col("term").isNull() | (common >= least)), "folds")
     sizes = staged.filter("term IS NULL").first()
     entries = F.array(*[
         F.struct(F.lit(f).alias("fold"), F.col(f"tf{f}").alias("tf"), F.col(f"df{f}").alias("df"),
                  F.lit(sizes[f"df{f}"] if sizes else 0).alias("n")) for f in range(folds)])
-    return staged.filter("term IS NOT NULL").select("term", F.inline(entries)).filter("df > 0").select(
+    return staged.filter("term IS NOT NULL").select("term", F.inline(entries)).filter(F.col("df") >= max(1, least)).select(
         "fold", "term", "tf", "df", "n")
 
 
 def fold_vocabularies(rows: DataFrame, folds: int, config: tfidf.TfidfConfig = tfidf.TfidfConfig()) -> DataFrame:
     """(fold, term, tf, df, idf): the vocabulary of each fold's training rows, staged."""
-    stats = complement_statistics(rows, folds, config)
+    stats = complement_statistics(rows, folds, config, config.min_df)
     kept = stats.filter((F.col("df") >= config.min_df) & (F.col("df") <= F.col("n") * config.max_df))
     if config.max_features is not None:
         largest = kept.agg(F.max("tf").alias("tf")).first()["tf"] or 0
